@@ -21,6 +21,7 @@ from ..operators.ranking import (
     top_groups_by_count,
     unique_entity_histogram,
 )
+from ..runtime import stored
 from ..schema import ENTITY_KEY, GENDER, PLAYER_ID, YEAR
 
 
@@ -54,11 +55,12 @@ def most_discussed_player(
     key: Sequence[str] = ("comment_id",),
 ) -> DataFrame:
     """Mentions of a season's players in comments, beside the most mentioned of them."""
-    aliases = build_alias_dim(roster_cohort(roster, year, group))
+    aliases = stored(build_alias_dim(roster_cohort(roster, year, group)), "aliases")
     profile = profile_aliases(aliases)
     if not profile.shapes:
         raise EmptyResultError(f"no players in the {group} roster of {year}")
-    summary = mention_summary(count_mentions(comments, aliases, key, profile=profile))
+    counts = stored(count_mentions(comments, aliases, key, profile=profile), "mentions")
+    summary = mention_summary(counts)
     if summary.isEmpty():
         raise EmptyResultError("no mentions found")
     return summary

@@ -38,8 +38,9 @@ from ..sources.rosters import SeasonFile, read_manifest
 _PLAIN_INTEGERS = ("contract_valid_until", "age")
 
 
-def _prepare(df: DataFrame, year: int, group: str) -> DataFrame:
-    df = ensure_entity_key(tag_source(merge_aliases(normalize_columns(df)), year, group))
+def _complete(df: DataFrame) -> DataFrame:
+    """Synonyms, key, names and player id for rows that carry their season and group."""
+    df = ensure_entity_key(merge_aliases(df))
     for target, source in NAME_FALLBACKS.items():
         df = fallback_column(df, target, source)
     plain = {
@@ -52,7 +53,19 @@ def _prepare(df: DataFrame, year: int, group: str) -> DataFrame:
 
 def standardize_roster(df: DataFrame, year: int, group: str) -> DataFrame:
     """One season with canonical columns, its tags and one row per player id."""
-    return dedup_first(_prepare(df, year, group), [PLAYER_ID])
+    return dedup_first(_complete(tag_source(normalize_columns(df), year, group)), [PLAYER_ID])
+
+
+def _seasons_by_header(
+    seasons: Iterable[tuple[SeasonFile, DataFrame]],
+) -> list[DataFrame]:
+    """Tagged seasons, those with the same columns in one frame: they align alike."""
+    by_header: dict[tuple[str, ...], list[DataFrame]] = {}
+    for entry, raw in seasons:
+        named = normalize_columns(raw)
+        tagged = tag_source(named, entry.year, entry.group)
+        by_header.setdefault(tuple(sorted(named.columns)), []).append(tagged)
+    return [union_rosters(frames) for frames in by_header.values()]
 
 
 def build_roster(
@@ -69,11 +82,9 @@ def build_roster(
     of one per file: of several rows with one id the first by ``order`` stays, then by
     the other columns. ``sort=False`` leaves the global sort to the sink.
     """
-    seasons = [
-        _prepare(raw, entry.year, entry.group)
-        for entry, raw in read_manifest(spark, manifest, expected, infer)
-    ]
-    unified = order_columns(conform(union_rosters(seasons), REQUIRED_COLUMNS, TYPE_MAP))
+    seasons = _seasons_by_header(read_manifest(spark, manifest, expected, infer))
+    aligned = union_rosters(_complete(frame) for frame in seasons)
+    unified = order_columns(conform(aligned, REQUIRED_COLUMNS, TYPE_MAP))
     keyed, rejected = split_missing_key(unified, PLAYER_ID)
     roster = dedup_first(keyed, [PLAYER_ID], order)
     return (sort_roster(roster) if sort else roster), rejected

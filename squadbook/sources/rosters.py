@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import astuple, dataclass
 
 from pyspark.errors import AnalysisException
@@ -13,6 +14,8 @@ from ..schema import EXPECTED_SEASONS
 EXPECTED_SCHEMA = "group string, year int"
 MANIFEST_SCHEMA = "group string, year int, path string"
 
+_HEADER_READS = 8
+
 
 class ManifestError(ValueError):
     """The manifest lacks a season or is malformed."""
@@ -65,22 +68,25 @@ def read_manifest(
     manifest: Iterable[SeasonFile],
     expected: Mapping[str, Sequence[int]] = EXPECTED_SEASONS,
     infer: bool = False,
-) -> Iterator[tuple[SeasonFile, DataFrame]]:
+) -> list[tuple[SeasonFile, DataFrame]]:
     """Every expected season with its raw rows; entries beyond the expected are not read.
 
     A missing season raises ``ManifestError`` before any file is touched, a missing
-    file ``FileNotFoundError``.
+    file ``FileNotFoundError``. Headers are looked up several files at a time.
     """
     by_season = {(e.group, e.year): e for e in manifest}
     wanted = [(group, year) for group, years in expected.items() for year in years]
     gaps = [season for season in wanted if season not in by_season]
     if gaps:
         raise ManifestError(f"manifest has no entry for {gaps}")
-    for season in wanted:
-        entry = by_season[season]
+
+    def read(entry: SeasonFile) -> tuple[SeasonFile, DataFrame]:
         try:
-            yield entry, read_roster_csv(spark, entry.path, infer)
+            return entry, read_roster_csv(spark, entry.path, infer)
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 raise FileNotFoundError(entry.path) from error
             raise
+
+    with ThreadPoolExecutor(_HEADER_READS) as pool:
+        return list(pool.map(read, [by_season[season] for season in wanted]))

@@ -21,6 +21,7 @@ from ..operators.mentions import (
     count_mentions,
     profile_aliases,
 )
+from ..runtime import stored
 from ..schema import COMMENT_SCHEMA
 
 _BATCH = "batch_id"
@@ -62,6 +63,8 @@ def stream_mentions(
     by batch, so a repeated batch replaces what it wrote before. ``read_mention_totals``
     adds the batches up.
     """
+    # Stored once: every micro-batch reads the table again.
+    aliases = stored(aliases, "aliases")
     profile = profile_aliases(aliases)
 
     def write(batch: DataFrame, batch_id: int) -> None:
