@@ -119,6 +119,13 @@ _COUNT_SEASONS = """
     GROUP BY ALL
 """
 
+_SUMMARY = """,
+    top AS (SELECT * FROM counts ORDER BY mentions DESC, canonical LIMIT 1)
+    SELECT (SELECT canonical FROM top) AS player, (SELECT mentions FROM top) AS player_mentions,
+           canonical, mentions
+    FROM counts
+"""
+
 ORACLES = {
     "top_groups_by_count": """
         WITH g AS (
@@ -272,6 +279,12 @@ ORACLES = {
         )
         SELECT * EXCLUDE (p) FROM p WHERE p = 1
     """,
+    "load_roster_from_files": """
+        SELECT count(DISTINCT (o_orderstatus, year(o_orderdate), o_custkey)) AS row_count,
+               string_agg(DISTINCT CAST(year(o_orderdate) AS VARCHAR), ','
+                          ORDER BY CAST(year(o_orderdate) AS VARCHAR)) AS years
+        FROM orders
+    """,
     "manifest_gaps": """
         WITH expected AS (
             SELECT DISTINCT o_orderstatus AS "group",
@@ -339,13 +352,8 @@ ORACLES = {
     "count_document_mentions": _DOCUMENTS + "SELECT * FROM counts",
     "count_document_mentions_unbroadcast": _DOCUMENTS + "SELECT * FROM counts",
     "top_mention": _TURNS + "SELECT * FROM counts ORDER BY mentions DESC, canonical LIMIT 1",
-    "mention_summary": _TURNS
-    + """,
-    top AS (SELECT * FROM counts ORDER BY mentions DESC, canonical LIMIT 1)
-    SELECT (SELECT canonical FROM top) AS player, (SELECT mentions FROM top) AS player_mentions,
-           canonical, mentions
-    FROM counts
-    """,
+    "mention_summary": _TURNS + _SUMMARY,
+    "most_discussed_player": _TURNS + _SUMMARY,
     "stream_mentions": _TURNS + "SELECT * FROM counts",
     "stream_dump": "SELECT * FROM conversations",
     "stream_dedup": "SELECT DISTINCT user_id, event_type FROM events",

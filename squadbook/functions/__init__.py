@@ -2,7 +2,7 @@ from .checksum import content_checksum, ingestion_metrics
 from .cleaning import clean_numeric, clean_timestamp, coerce, digits_in, tolerant_integer
 from .keys import composite_id
 from .names import normalize_name
-from .text import contains_phrase, escape_regex, inner_segments, segments, strip
+from .text import contains_phrase, escape_regex, segments, strip
 
 __all__ = [
     "clean_numeric",
@@ -14,7 +14,6 @@ __all__ = [
     "digits_in",
     "escape_regex",
     "ingestion_metrics",
-    "inner_segments",
     "normalize_name",
     "segments",
     "strip",

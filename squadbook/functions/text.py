@@ -35,13 +35,4 @@ def contains_phrase(text: Column, phrase: Column) -> Column:
 
 def segments(text: Column) -> Column:
     """Cut a text at every word boundary: ``neymar jr.`` -> ``[neymar, ' ', jr, .]``."""
-    return F.regexp_extract_all(text, F.lit(f"[{WORD}]+|[^{WORD}]+"), F.lit(0))
-
-
-def inner_segments(text: Column) -> Column:
-    """``segments`` from the first word to the last: words at even positions.
-
-    Non-word text at either end touches no boundary on its outer side.
-    """
-    inner = f"[{WORD}]+|(?<=[{WORD}])[^{WORD}]++(?=[{WORD}])"
-    return F.regexp_extract_all(text, F.lit(inner), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(f"[{WORD}]++|[^{WORD}]++"), F.lit(0))

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import inner_segments, segments, strip
+from ..functions import segments, strip
 from ..functions.text import WORD
 
 ALIAS, CANONICAL, MENTIONS = "alias", "canonical", "mentions"
@@ -105,18 +105,24 @@ def _text_runs(
     """
     if not profile.shapes:
         return comments.where(F.lit(False)).select(*key, F.lit("").alias(_PHRASE))
-    cut = comments.select(*key, inner_segments(F.lower(text)).alias("__cut"))
+    # Between two blanks every text starts and ends with a non-word segment. Both are cut
+    # off, as they touch no boundary on their outer side; words are then at even places.
+    padded = F.concat(F.lit(" "), F.lower(text), F.lit(" "))
+    cut = comments.select(*key, segments(padded).alias("__cut"))
     longest = max(length for _, length in profile.shapes)
     columns = [_HEAD, *(f"__s{i}" for i in range(1, longest))]
     shifted = [
-        F.slice("__cut", i + 1, (1 << 31) - 1).alias(name) for i, name in enumerate(columns)
+        F.slice("__cut", F.lit(2 + i), F.greatest(F.size("__cut") - (2 + i), F.lit(0))).alias(name)
+        for i, name in enumerate(columns)
     ]
     starts = cut.select(*key, F.posexplode(F.arrays_zip(*shifted)).alias("__at", "__run"))
     starts = starts.select(*key, "__at", "__run.*")
+    if all(on_word for on_word, _ in profile.shapes):
+        starts = starts.where(F.col("__at").bitwiseAND(F.lit(1)) == 0)
     if heads is not None:
         starts = starts.join(F.broadcast(heads), _HEAD, "left_semi")
 
-    # Inner segments start with a word and alternate; a run past the end is NULL.
+    # A run past the end is NULL.
     def run(on_word: bool, length: int) -> Column:
         parity = F.col("__at").bitwiseAND(F.lit(1)) == (0 if on_word else 1)
         return F.when(parity, F.concat(*columns[:length]))

@@ -10,7 +10,7 @@ Queries that write go through a fresh folder of the session's shared scratch spa
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as op
@@ -25,7 +25,7 @@ from ..functions import (
 from ..runtime import scratch_path
 from ..schema import COMMENT_PAGE_SCHEMA, CORE_COLUMNS
 from . import reports
-from .roster import build_roster, sort_roster
+from .roster import build_roster, load_roster, sort_roster
 
 TURN = ["conv_id", "turn"]
 
@@ -34,6 +34,12 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _in_year(column: str, year: int) -> Column:
+    """A range rather than ``year(column)``, so that the file scan can skip row groups."""
+    start, end = (F.to_timestamp_ntz(F.lit(f"{y}-01-01")) for y in (year, year + 1))
+    return (F.col(column) >= start) & (F.col(column) < end)
+
+
 def _names(spark: SparkSession, sf: str) -> DataFrame:
     """Names to look for: the first word of a passage, and its first two as long name."""
     text = F.col("text")
@@ -69,7 +75,7 @@ def _roster(spark: SparkSession, sf: str) -> DataFrame:
 
 def top_groups_by_count(spark, sf):
     orders = _table(spark, sf, "orders")
-    in_season = (F.year("o_orderdate") == 1998) & (F.col("o_totalprice") >= 100000)
+    in_season = _in_year("o_orderdate", 1998) & (F.col("o_totalprice") >= 100000)
     return op.top_groups_by_count(orders, "o_custkey", 10, in_season)
 
 
@@ -83,7 +89,7 @@ def top_segments_by_count(spark, sf):
 
 def _rank_by_quantity(spark, sf, order):
     lineitem = _table(spark, sf, "lineitem")
-    in_season = F.year("l_shipdate") == 1998
+    in_season = _in_year("l_shipdate", 1998)
     ranked = op.rank_groups_by_avg(
         lineitem, "l_suppkey", "l_quantity", 10, order, in_season, "average_quantity"
     )
@@ -150,6 +156,12 @@ def nationality_histogram(spark, sf):
     return reports.nationality_histogram(_roster(spark, sf))
 
 
+def most_discussed_player(spark, sf):
+    roster = op.tag_source(_names(spark, sf), 2022, "male")
+    comments = _table(spark, sf, "conversations")
+    return reports.most_discussed_player(roster, comments, 2022, "male", TURN)
+
+
 # Cleaning and alignment
 
 
@@ -267,6 +279,14 @@ def build_roster_from_files(spark, sf):
     return roster.select(*columns.split(), "value_eur", dob)
 
 
+def load_roster_from_files(spark, sf):
+    manifest, expected = _season_files(spark, sf)
+    target, log = scratch_path(spark, "players"), scratch_path(spark, "log")
+    load_roster(spark, manifest, target, log, expected)
+    years = F.array_join(F.col("years").cast("array<string>"), ",").alias("years")
+    return spark.read.parquet(log).select("row_count", years)
+
+
 def manifest_gaps(spark, sf):
     def day(column):
         return F.date_format(column, "yyyyMMdd").cast("int").alias("year")
@@ -496,6 +516,7 @@ QUERIES = {
         normalize_and_alias,
         union_conform,
         build_roster_from_files,
+        load_roster_from_files,
         manifest_gaps,
         write_read_roster,
         write_chunks,
@@ -513,6 +534,7 @@ QUERIES = {
         count_document_mentions_unbroadcast,
         top_mention,
         mention_summary,
+        most_discussed_player,
         stream_mentions,
         stream_dump,
         stream_dedup,

@@ -13,7 +13,6 @@ from squadbook.functions import (
     content_checksum,
     digits_in,
     escape_regex,
-    inner_segments,
     normalize_name,
     segments,
     strip,
@@ -93,9 +92,6 @@ def test_segments(spark):
     assert values(spark, ["neymar jr.", "..é_1!", ""], segments) == [
         ["neymar", " ", "jr", "."], ["..", "é_1", "!"], [],
     ]
-    assert values(spark, ["..neymar jr.", "...", "a", ""], inner_segments) == [
-        ["neymar", " ", "jr"], [], ["a"], [],
-    ]
 
 
 def test_escape_regex(spark):
