@@ -444,7 +444,7 @@ def mention_summary(spark, sf):
 def _stream(spark, sf, name) -> DataFrame:
     schema = _table(spark, sf, name).schema
     path = f"{sf}/{name}*.parquet"
-    return streaming.read_comment_stream(spark, path, schema, file_format="parquet")
+    return streaming.read_comment_stream(spark, path, schema, 1000, file_format="parquet")
 
 
 def _count_stream(spark, sf) -> tuple[str, str]:

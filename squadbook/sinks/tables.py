@@ -87,8 +87,10 @@ def write_roster_jdbc(
 ) -> None:
     """Write rows to a database table; ``replace`` empties it and keeps its definition.
 
-    ``partitions`` bounds the connections. The database commits per task, so a job that
-    is cut short leaves part of the rows: run it again with ``replace``.
+    ``partitions`` bounds the connections. The database commits per task: a job that is
+    cut short leaves part of the rows, so run it again with ``replace``; and a task that is
+    lost after its commit is repeated, so give the table a primary key, which turns
+    doubled rows into a failed job.
     """
     if mode not in ("replace", "append"):
         raise ValueError(f"unknown mode '{mode}'")

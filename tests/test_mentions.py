@@ -42,6 +42,17 @@ COMMENTS = [
 ]
 
 
+@pytest.fixture
+def shuffled_joins(spark):
+    """No join is broadcast unless it is hinted."""
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
 @pytest.fixture
 def aliases(spark):
     return build_alias_dim(spark.createDataFrame(ROSTER, "short_name string, long_name string"))
@@ -124,6 +135,19 @@ def test_hot_word_and_mixed_case_aliases(spark):
         assert counts(count_mentions(comments, aliases, broadcast_bytes=limit)) == {"A": 1000}
 
 
+def test_large_alias_tables_meet_the_texts_in_a_shuffle(spark, comments, aliases, shuffled_joins):
+    counted = count_mentions(comments, aliases, broadcast_bytes=0)
+    matched = match_mentions(comments, aliases, broadcast_bytes=0)
+    for df, broadcasts in ((counted, 1), (matched, 1)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+        assert plan.count("BroadcastExchange") == broadcasts  # the bitmap
+    assert counts(counted) == counts(count_mentions(comments, aliases))
+    assert sorted(map(tuple, matched.collect())) == sorted(
+        map(tuple, match_mentions(comments, aliases).collect())
+    )
+
+
 def test_no_aliases(spark, comments, aliases):
     none = aliases.where(F.lit(False))
     assert profile_aliases(none).shapes == ()
