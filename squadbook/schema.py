@@ -31,24 +31,22 @@ INT_COLUMNS = "year contract_valid_until age height_cm weight_kg".split()
 
 TIMESTAMP_COLUMNS = ["club_joined", "dob"]
 
+# Fixed values, by name.
 DOUBLE_COLUMNS = """
-    overall potential value_eur wage_eur release_clause_eur
-    international_reputation skill_moves weak_foot league_level
-    club_team_id club_jersey_number nation_team_id nation_jersey_number nationality_id
-    pace shooting passing dribbling defending physic
     attacking_crossing attacking_finishing attacking_heading_accuracy
-    attacking_short_passing attacking_volleys
-    skill_ball_control skill_curve skill_dribbling skill_fk_accuracy skill_long_passing
-    movement_acceleration movement_agility movement_balance movement_reactions
-    movement_sprint_speed
-    power_jumping power_long_shots power_shot_power power_stamina power_strength
-    mentality_aggression mentality_composure mentality_interceptions
-    mentality_penalties mentality_positioning mentality_vision
-    defending_marking_awareness defending_sliding_tackle defending_standing_tackle
-    goalkeeping_diving goalkeeping_handling goalkeeping_kicking
-    goalkeeping_positioning goalkeeping_reflexes goalkeeping_speed
-    gk lwb ldm cdm rdm rwb lb lcb cb rcb rb
-    lm lcm cm rcm rm lam cam ram lw lf cf rf rw ls st rs
+    attacking_short_passing attacking_volleys cam cb cdm cf club_jersey_number
+    club_team_id cm defending defending_marking_awareness defending_sliding_tackle
+    defending_standing_tackle dribbling gk goalkeeping_diving goalkeeping_handling
+    goalkeeping_kicking goalkeeping_positioning goalkeeping_reflexes goalkeeping_speed
+    international_reputation lam lb lcb lcm ldm league_level lf lm ls lw lwb
+    mentality_aggression mentality_composure mentality_interceptions mentality_penalties
+    mentality_positioning mentality_vision movement_acceleration movement_agility
+    movement_balance movement_reactions movement_sprint_speed nation_jersey_number
+    nation_team_id nationality_id overall pace passing physic potential power_jumping
+    power_long_shots power_shot_power power_stamina power_strength ram rb rcb rcm rdm
+    release_clause_eur rf rm rs rw rwb shooting skill_ball_control skill_curve
+    skill_dribbling skill_fk_accuracy skill_long_passing skill_moves st value_eur
+    wage_eur weak_foot
 """.split()
 
 TYPE_MAP: dict[str, str] = {
