@@ -361,14 +361,30 @@ ORACLES = {
 }
 
 
+LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+LLM_ORACLES: dict[str, str] = {}
+try:
+    import corpus_pipeline
+    from squadbook.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    # The subpackage and its pipeline may be absent; a fault within them is an error.
+    if missing.name not in ("corpus_pipeline", "squadbook.llm"):
+        raise
+else:
+    LLM_QUERIES = llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    LLM_ORACLES = dict(llm_queries.ORACLES)
+    if corpus_pipeline.ORACLE_SQL is not None:
+        LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: mentions of names in conversations, beside the most mentioned."""
     return QUERIES["mention_summary"](spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return QUERIES | LLM_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return ORACLES | LLM_ORACLES
