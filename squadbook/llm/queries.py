@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from squadbook.llm.licenses import license_scan
 from squadbook.llm.quality import quality_rules
+from squadbook.llm.tokens import read_token_index, write_token_ids
+from squadbook.runtime import scratch_path
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,8 +21,28 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"))
 
 
+def tokenizer_file(name: str) -> str:
+    """Where this machine keeps a public tokenizer."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-ids")
+    documents = read(spark, sf_dir, "documents")
+    shards = write_token_ids(documents, path, tokenizer_file("byte_bpe_50k.json"))
+    return read_token_index(spark, path, shards)
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": op5_quality_rules,
+    "op7_token_output": op7_token_output,
+    "op9_license_scan": op9_license_scan,
 }
 
 _WORD = r"[^\x20\x09-\x0D]"
