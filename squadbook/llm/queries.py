@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from squadbook.llm.language import identify_languages
 from squadbook.llm.licenses import license_scan
 from squadbook.llm.quality import quality_rules
 from squadbook.llm.tokens import read_token_index, write_token_ids
@@ -17,6 +18,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(read(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"))
 
@@ -40,6 +45,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_language_id": op4_language_id,
     "op5_quality_rules": op5_quality_rules,
     "op7_token_output": op7_token_output,
     "op9_license_scan": op9_license_scan,
