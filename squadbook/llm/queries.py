@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from squadbook.llm.language import identify_languages
 from squadbook.llm.licenses import license_scan
+from squadbook.llm.privacy import find_personal_data
 from squadbook.llm.quality import quality_rules
 from squadbook.llm.tokens import read_token_index, write_token_ids
 from squadbook.runtime import scratch_path
@@ -18,6 +19,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(read(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(read(spark, sf_dir, "documents"))
 
@@ -45,6 +50,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_personal_data": op3_personal_data,
     "op4_language_id": op4_language_id,
     "op5_quality_rules": op5_quality_rules,
     "op7_token_output": op7_token_output,
