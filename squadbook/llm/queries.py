@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from squadbook.llm.language import identify_languages
 from squadbook.llm.licenses import license_scan
+from squadbook.llm.pieces import sample_pieces
 from squadbook.llm.privacy import find_personal_data
 from squadbook.llm.quality import quality_rules
 from squadbook.llm.tokens import read_token_index, write_token_ids
@@ -49,12 +50,18 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(read(spark, sf_dir, "documents"))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    return sample_pieces(documents, tokenizer_file("piece_bpe_32k.model"), with_ids=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_personal_data": op3_personal_data,
     "op4_language_id": op4_language_id,
     "op5_quality_rules": op5_quality_rules,
     "op7_token_output": op7_token_output,
     "op9_license_scan": op9_license_scan,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 
 _WORD = r"[^\x20\x09-\x0D]"
