@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Scratch paths handed out and not discarded, by application.
+_made: dict[str, list[str]] = {}
+_local: list[str] = []
+
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the folder the session names in ``spark.checkpoint.dir``.
@@ -18,8 +23,31 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="squadbook-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        if not _local:
+            _local.append(tempfile.mkdtemp(prefix="squadbook-"))
+        base = _local[0]
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    scratch_made(spark).append(path)
+    return path
+
+
+def scratch_made(spark: SparkSession) -> list[str]:
+    """The scratch paths of this application that are not discarded, in order."""
+    return _made.setdefault(spark.sparkContext.applicationId, [])
+
+
+def discard(spark: SparkSession, paths: Iterable[str] | None = None) -> None:
+    """Delete scratch paths, by default all of this application.
+
+    Results are read from scratch tables when they are consumed; discard them after that.
+    """
+    made = scratch_made(spark)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for text in list(made if paths is None else paths):
+        path = jvm.org.apache.hadoop.fs.Path(text)
+        path.getFileSystem(conf).delete(path, True)
+        if text in made:
+            made.remove(text)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
