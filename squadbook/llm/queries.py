@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from squadbook.llm.decontaminate import contaminated
 from squadbook.llm.language import identify_languages
 from squadbook.llm.licenses import license_scan
+from squadbook.llm.lines import fuzzy_line_dedup
 from squadbook.llm.pieces import sample_pieces
 from squadbook.llm.privacy import find_personal_data
 from squadbook.llm.quality import quality_rules
+from squadbook.llm.similarity import similar_documents
 from squadbook.llm.tokens import read_token_index, write_token_ids
 from squadbook.runtime import scratch_path
 
@@ -20,6 +23,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = fuzzy_line_dedup(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("kept_md5"))
+
+
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(read(spark, sf_dir, "documents"))
 
@@ -39,6 +47,11 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    return contaminated(documents, benchmark).drop("row")
+
+
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-ids")
     documents = read(spark, sf_dir, "documents")
@@ -46,6 +59,10 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_index(spark, path, shards)
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(read(spark, sf_dir, "documents"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(read(spark, sf_dir, "documents"))
 
@@ -56,10 +73,13 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_line_dedup": op2_line_dedup,
     "op3_personal_data": op3_personal_data,
     "op4_language_id": op4_language_id,
     "op5_quality_rules": op5_quality_rules,
+    "op6_decontamination": op6_decontamination,
     "op7_token_output": op7_token_output,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_license_scan": op9_license_scan,
     "op10_sentencepiece": op10_sentencepiece,
 }

@@ -54,3 +54,25 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterat
             end = min(max(end, at + 1), batch.num_rows)
             yield batch.slice(at, end - at)
             at = end
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object, pa.Table]]:
+    """Consecutive rows of one key, as tables, from batches that are sorted by it."""
+    import numpy as np
+
+    held: list[pa.RecordBatch] = []
+    current = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(batch.schema.get_field_index(key)).to_numpy(zero_copy_only=False)
+        starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        ends = np.append(starts[1:], len(keys))
+        for lo, hi in zip(starts.tolist(), ends.tolist()):
+            if held and keys[lo] != current:
+                yield current, pa.Table.from_batches(held)
+                held = []
+            current = keys[lo]
+            held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield current, pa.Table.from_batches(held)
