@@ -15,6 +15,7 @@ from squadbook.llm.pieces import sample_pieces
 from squadbook.llm.privacy import find_personal_data
 from squadbook.llm.quality import quality_rules
 from squadbook.llm.similarity import similar_documents
+from squadbook.llm.substrings import dedup_substrings
 from squadbook.llm.tokens import read_token_index, write_token_ids
 from squadbook.runtime import scratch_path
 
@@ -23,6 +24,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(read(spark, sf_dir, "documents"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = fuzzy_line_dedup(read(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("kept_md5"))
@@ -73,6 +78,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_line_dedup": op2_line_dedup,
     "op3_personal_data": op3_personal_data,
     "op4_language_id": op4_language_id,
