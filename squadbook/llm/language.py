@@ -136,8 +136,8 @@ class Model:
             total += state > 1
         return counts
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        """Language and score of each text."""
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, score and least cost in bits a symbol of each text."""
         coded = [symbols(t or "", self.alphabet) for t in texts]
         owner, parts = [], []
         for i, x in enumerate(coded):
@@ -163,16 +163,17 @@ class Model:
         # Bits a symbol: phrases times the log of the sample's length.
         weights = np.array([np.log2(max(t.shape[0], 2)) for t in self.tables])
         cost = phrases * weights[:, None] / np.maximum(sizes, 1)
-        names, scores = [], np.zeros(len(texts))
+        names, scores, bits = [], np.zeros(len(texts)), np.zeros(len(texts))
         for i in range(len(texts)):
             if not known[i]:
                 names.append(UNDETERMINED)
                 continue
             ranked = np.argsort(cost[:, i], kind="stable")
             names.append(self.languages[ranked[0]])
+            bits[i] = cost[ranked[0], i]
             second = cost[ranked[1], i] if len(ranked) > 1 else 2 * cost[ranked[0], i]
             scores[i] = min(1.0, max(0.0, 1 - cost[ranked[0], i] / second)) if second else 0.0
-        return names, scores
+        return names, scores, bits
 
 
 def labelled_samples(
@@ -216,12 +217,13 @@ def identify_languages(
     characters: int = 24_000,
     keep: tuple[str, ...] | None = None,
 ) -> DataFrame:
-    """Every row with ``held_out, lang_pred, score``, beside the columns ``keep`` (the id).
+    """Every row with ``held_out, lang_pred, score, bits``, beside the columns ``keep`` (the id).
 
     The classifier is fitted on at most ``documents`` rows and ``characters`` characters a
     language; predictions read the text alone. ``lang_pred`` is ``und`` and the score 0 for
     a null text, one without letters, and wherever no row is labelled. The score is the
-    share by which the best language's cost lies below the second's.
+    share by which the best language's cost lies below the second's; ``bits`` is that cost a
+    symbol, low for text that is much like the sample and high for letters in disorder.
     """
     keep = (doc_id,) if keep is None else keep
     model = Model(
@@ -241,13 +243,14 @@ def identify_languages(
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text", 4 << 20):
             column = lambda c: batch.column(batch.schema.get_field_index(c))
-            found, scores = held.value.predict(column("_text").to_pylist())
+            found, scores, bits = held.value.predict(column("_text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [column(c) for c in names]
-                + [column("_held_out"), pa.array(found, pa.string()), pa.array(scores)],
-                names + ["held_out", "lang_pred", "score"],
+                + [column("_held_out"), pa.array(found, pa.string())]
+                + [pa.array(scores), pa.array(bits)],
+                names + ["held_out", "lang_pred", "score", "bits"],
             )
 
     return map_batches(
-        rows, predict, schema + ", held_out boolean, lang_pred string, score double"
+        rows, predict, schema + ", held_out boolean, lang_pred string, score double, bits double"
     )

@@ -56,6 +56,9 @@ def class_of(members: np.ndarray) -> int:
     return int(mix(np.array([total], np.uint64)).view(np.int64)[0])
 
 
+_MEASURES = ["kind", "row", "doc_id", "n", "c", "sketch"]
+
+
 def _measured(docs: DataFrame, width: int) -> DataFrame:
     """Rows of documents (``kind`` 0: id, size, class, sketch) and of frequent members (1)."""
 
@@ -71,16 +74,20 @@ def _measured(docs: DataFrame, width: int) -> DataFrame:
                     held[classes[-1]] = members
             n = len(sizes)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([0] * n, pa.int32()), batch.column(batch.schema.get_field_index("doc_id")), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), pa.array(sketches, pa.binary())],
-                ["kind", "doc_id", "n", "c", "sketch"],
-            )
+                [pa.array([0] * n, pa.int32())]
+                + [batch.column(batch.schema.get_field_index(c)) for c in ("row", "doc_id")]
+                + [pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), pa.array(sketches, pa.binary())],
+                _MEASURES,
+            )
             if len(held) >= COUNTED_SETS:
                 yield _frequent(held)
                 held = {}
         if held:
             yield _frequent(held)
 
-    return map_batches(docs, measure, "kind int, doc_id bigint, n bigint, c bigint, sketch binary")
+    return map_batches(
+        docs, measure, "kind int, row bigint, doc_id bigint, n bigint, c bigint, sketch binary"
+    )
 
 
 def _frequent(held: dict[int, np.ndarray]) -> pa.RecordBatch:
@@ -88,9 +95,11 @@ def _frequent(held: dict[int, np.ndarray]) -> pa.RecordBatch:
     some = counts >= 4
     n = int(some.sum())
     return pa.RecordBatch.from_arrays(
-        [pa.array([1] * n, pa.int32()), pa.nulls(n, pa.int64()), pa.array(counts[some], pa.int64()), pa.array(members[some].view(np.int64)), pa.nulls(n, pa.binary())],
-        ["kind", "doc_id", "n", "c", "sketch"],
-    )
+        [pa.array([1] * n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())]
+        + [pa.array(counts[some], pa.int64()), pa.array(members[some].view(np.int64))]
+        + [pa.nulls(n, pa.binary())],
+        _MEASURES,
+    )
 
 
 def frequent_members(measured: DataFrame) -> np.ndarray:
@@ -272,6 +281,28 @@ def _links(docs: DataFrame, blocks: DataFrame, classes: DataFrame, width: int, p
     return map_batches(dealt.select("unit", "c", "members"), search, "a bigint, b bigint").distinct()
 
 
+def similar_groups(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
+    """``row, doc_id, n, root`` for ``row, doc_id, text``; rows that links join have one root.
+
+    The root is null where a text has no words.
+    """
+    measured = stored(_measured(docs, width), "sets")
+    documents = measured.where("kind = 0").select("row", "doc_id", "n", "c")
+    by_class = measured.where("kind = 0 and c is not null").groupBy("c")
+    classes = by_class.agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
+    sketches = by_class.agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    total = documents.agg(F.sum("n")).first()[0] or 0
+    spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(spread, total * (100 - percent) // 100 // BUCKET_MEMBERS + 1)
+    groups = _groups(docs, width, percent, frequent_members(measured), buckets)
+    candidates = stored(_candidates(groups, sketches, percent), "candidates")
+    links = stored(_links(docs, components(candidates), classes, width, percent), "links")
+    linked = components(links).withColumnsRenamed({"node": "c", "component": "root"})
+    return documents.join(linked, "c", "left").select(
+        "row", "doc_id", "n", F.coalesce("root", "c").alias("root")
+    )
+
+
 def similar_documents(
     docs: DataFrame,
     *,
@@ -288,24 +319,39 @@ def similar_documents(
     their own; rows without id take part, and where a component has no id its rows have none.
     An empty table gives an empty result; other columns are not looked at.
     """
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    measured = stored(_measured(rows, width), "sets")
-    documents = measured.where("kind = 0").select("doc_id", "n", "c")
-    classes = documents.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
-    sketches = (
-        measured.where("kind = 0 and c is not null").groupBy("c").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    rows = docs.select(
+        F.lit(None).cast("bigint").alias("row"),
+        F.col(doc_id).cast("bigint").alias("doc_id"),
+        F.col(text).cast("string").alias("text"),
     )
-    total = documents.agg(F.sum("n")).first()[0] or 0
-    spread = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(spread, total * (100 - percent) // 100 // BUCKET_MEMBERS + 1)
-    groups = _groups(rows, width, percent, frequent_members(measured), buckets)
-    candidates = stored(_candidates(groups, sketches, percent), "candidates")
-    links = stored(_links(rows, components(candidates), classes, width, percent), "links")
-    linked = components(links).withColumnsRenamed({"node": "c", "component": "root"})
-    placed = documents.join(linked, "c", "left").withColumn("root", F.coalesce("root", "c"))
+    placed = similar_groups(rows, width=width, percent=percent)
     least = placed.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
+    own = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least"))
     return placed.join(least, "root", "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
+        "doc_id", F.col("n").alias("n_shingles"), own.alias("component_id")
+    )
+
+
+def one_of_each(
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options
+) -> DataFrame:
+    """The rows of ``docs``, all columns, without those that an earlier row links to.
+
+    Of each group the row with the smallest id stays (the first of equals, rows without id
+    last); rows whose text has no words stay.
+    """
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+    )
+    rows = stored(rows, "documents")
+    compared = rows.select(
+        "row",
+        F.col(f"doc.`{doc_id}`").cast("bigint").alias("doc_id"),
+        F.col(f"doc.`{text}`").cast("string").alias("text"),
     )
+    placed = similar_groups(compared, **options)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    stay = placed.where("root is not null").groupBy("root").agg(first).select("first.row")
+    stay = stay.union(placed.where("root is null").select("row"))
+    return rows.join(stay, "row", "left_semi").select("doc.*")
