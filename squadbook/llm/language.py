@@ -131,7 +131,7 @@ class Model:
                     ahead[stuck] = start[symbol[stuck]]
                     total[stuck] += 1
                 # A symbol unknown to the sample is a phrase of its own.
-                total[:n] += (ahead == 1) & (now == 1)
+                total[:n] += ahead == 1
                 state[:n] = ahead
             total += state > 1
         return counts

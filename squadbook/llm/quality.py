@@ -50,7 +50,7 @@ def covered_by_repeats(hashes: Column, width: int) -> Column:
 
 def line_key(line: Column) -> Column:
     """Lines that differ in case, punctuation or spacing alone have one key."""
-    return F.xxhash64(F.lower(F.regexp_replace(line, r"[^\p{L}\p{N}]+", " ")))
+    return F.xxhash64(F.lower(F.trim(F.regexp_replace(line, r"[^\p{L}\p{N}]+", " "))))
 
 
 def text_measures(docs: DataFrame, doc_id: str, text: str, host: str) -> DataFrame:

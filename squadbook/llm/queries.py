@@ -116,7 +116,7 @@ ORACLES: dict[str, str] = {
         ), l AS (
             SELECT row, host, unnest(lines) AS line FROM w
         ), k AS (
-            SELECT row, host, lower(regexp_replace(line, '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS h,
+            SELECT row, host, lower(trim(regexp_replace(line, '[^\p{{L}}\p{{N}}]+', ' ', 'g'))) AS h,
                    len(regexp_extract_all(line, '{_WORD}+')) AS n FROM l
         ), frequent AS (
             SELECT host, h FROM (SELECT host, h, count(DISTINCT row) AS documents FROM k GROUP BY ALL)
