@@ -14,10 +14,8 @@ any store it can reach.
 from __future__ import annotations
 
 import json
-import re
-import sys
+import os
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,13 +24,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from squadbook.llm.arrays import CHUNK, prefix_hashes, span_hashes, text_bytes
 from squadbook.llm.tasks import map_batches, slices
 
 BLOCK_IDS = 1 << 18
 SHARD_BYTES = 128 << 20
 # Rows of 12 bytes: what may be broadcast when blocks are read.
 MAX_BROADCAST_SHARDS = 1_000_000
-MEMO = 500_000
+# Distinct pieces that a worker remembers, in about 40 MB.
+MEMO = 1_000_000
 RANK_BYTES = 64
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1)
@@ -84,30 +84,85 @@ class EliasFano:
         return starts, ends
 
 
+# Classes of bytes, for texts in which a byte-level pre-tokenizer cuts where they change:
+# letters (ASCII, and both bytes of Latin letters up to U+024F), digits, marks, white space.
+_LETTER, _DIGIT, _MARKS, _SPACE, _LINE, _OTHER = range(6)
+_CLASS = np.full(256, _OTHER, np.uint8)
+_CLASS[0x21:0x7F] = _MARKS
+_CLASS[0x27] = _OTHER  # an apostrophe may begin a contraction, which is cut otherwise
+_CLASS[0x30:0x3A] = _DIGIT
+_CLASS[0x41:0x5B] = _CLASS[0x61:0x7B] = _LETTER
+_CLASS[0x80:0xC0] = _CLASS[0xC3:0xCA] = _LETTER
+_CLASS[0x20], _CLASS[0x0A] = _SPACE, _LINE
+
+
+class Memo:
+    """Ids of pieces by their hash: open addressing over numpy arrays, emptied when full."""
+
+    def __init__(self, entries: int, kind: str):
+        self.bits = max(4, (2 * entries - 1).bit_length())
+        self.entries, self.kind = entries, kind
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys = np.zeros(1 << self.bits, np.uint64)
+        self.slots = np.full(1 << self.bits, -1, np.int32)
+        self.start = np.zeros(self.entries + 1, np.int64)
+        self.ids = np.zeros(4 * self.entries, self.kind)
+        self.n = 0
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Entry of each hash, -1 where there is none."""
+        slot = (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
+        found = self.slots[slot]
+        wrong = np.flatnonzero((found >= 0) & (self.keys[slot] != hashes))
+        while len(wrong):
+            slot[wrong] = (slot[wrong] + 1) & ((1 << self.bits) - 1)
+            here = slot[wrong]
+            found[wrong] = self.slots[here]
+            wrong = wrong[(found[wrong] >= 0) & (self.keys[here] != hashes[wrong])]
+        return found
+
+    def add(self, hashes: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        """New distinct hashes, their ids one after another, and how many each has."""
+        first, total = int(self.start[self.n]), int(counts.sum())
+        if first + total > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(max(total, len(self.ids)), self.kind)])
+        self.ids[first : first + total] = ids
+        self.start[self.n + 1 : self.n + 1 + len(hashes)] = first + np.cumsum(counts)
+        mask = (1 << self.bits) - 1
+        for n, (slot, key) in enumerate(zip((hashes >> np.uint64(64 - self.bits)).tolist(), hashes), self.n):
+            while self.slots[slot] >= 0:
+                slot = (slot + 1) & mask
+            self.slots[slot], self.keys[slot] = n, key
+        self.n += len(hashes)
+
+
 class Encoder:
-    """Ids of texts as little-endian bytes; equal words are encoded once and remembered.
+    """Ids of the texts of a batch; equal words are encoded once and remembered.
 
-    A byte-level pre-tokenizer cuts a text into words, numbers and marks before anything is
-    merged, so these can be encoded apart. The cut is made here only in texts of printable
-    ASCII and Latin letters with single spaces and line ends between, where it is plain;
-    every other text is encoded whole, as is one that holds an added token.
+    A byte-level pre-tokenizer cuts a text into words, numbers and marks, each with the space
+    ahead of it, before anything is merged, so these can be encoded apart. The cut is made
+    here only in texts of printable ASCII and Latin letters with single spaces and line ends
+    between, where it is plain; every other text is encoded whole, as is one that holds an
+    added token or an apostrophe.
     """
 
-    # The contractions of the pre-tokenizer.
-    _pieces = re.compile(
-        "'s|'t|'re|'ve|'m|'ll|'d"
-        "| ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[!-/:-@\\[-`{-~]+|\n(?=[!-~À-ÖØ-öø-ɏ])"
-    )
-
-    def __init__(self, tokenizer_json: str, width: str):
-        from tokenizers import Tokenizer
+    def __init__(self, tokenizer_json: str, kind: str):
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.code = {"<u2": "H", "<u4": "I"}[width]
-        self.memo: dict[str, bytes] = {}
+        # One thread a task; the others belong to other tasks.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        self.tokenizer, self.kind = Tokenizer.from_str(tokenizer_json), kind
+        self.memo = Memo(MEMO, kind)
         parts = json.loads(tokenizer_json)
         cutter = parts.get("pre_tokenizer") or {}
-        self.added = [t["content"] for t in parts.get("added_tokens", [])]
+        self.added = [t["content"].encode() for t in parts.get("added_tokens", [])]
+        # The same merges for words that are cut already, and the bytes each id stands for.
+        self.merges = Tokenizer.from_str(tokenizer_json)
+        self.merges.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        spelled = {i: len(t) for t, i in self.tokenizer.get_vocab().items()}
+        self.bytes_of = np.array([spelled.get(i, 0) for i in range(max(spelled, default=0) + 1)])
         self.by_piece = (
             parts.get("normalizer") is None
             and cutter.get("type") == "ByteLevel"
@@ -115,26 +170,90 @@ class Encoder:
             and not cutter.get("add_prefix_space", True)
         )
 
-    def _whole(self, text: str) -> bytes:
-        ids = array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids)
-        if sys.byteorder == "big":
-            ids.byteswap()
-        return ids.tobytes()
-
-    def encode(self, text: str) -> bytes:
-        pieces = self._pieces.findall(text) if self.by_piece else []
-        if sum(map(len, pieces)) != len(text) or any(t in text for t in self.added):
-            return self._whole(text)
-        memo = self.memo
-        try:
-            return b"".join(map(memo.__getitem__, pieces))
-        except KeyError:
-            if len(memo) > MEMO:
-                memo.clear()
-            for piece in pieces:
-                if piece not in memo:
-                    memo[piece] = self._whole(piece)
-            return b"".join(map(memo.__getitem__, pieces))
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
+
+    def plain(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Which texts may be cut by classes of bytes."""
+        kind = _CLASS[data]
+        gap = kind >= _SPACE
+        bad = kind == _OTHER
+        bad[1:] |= gap[1:] & gap[:-1]
+        # Not letters: the signs for times and divided by.
+        bad[:-1] |= (data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7))
+        filled = offsets[1:] > offsets[:-1]
+        bad[offsets[:-1][filled]] |= gap[offsets[:-1][filled]]
+        bad[offsets[1:][filled] - 1] |= gap[offsets[1:][filled] - 1]
+        total = np.concatenate(([0], np.cumsum(bad)))
+        plain = total[offsets[1:]] == total[offsets[:-1]]
+        if self.added and plain.any():
+            buffer = data.tobytes()
+            for token in self.added:
+                at = buffer.find(token)
+                while at >= 0:
+                    plain[np.searchsorted(offsets, at, "right") - 1] = False
+                    at = buffer.find(token, at + 1)
+        return plain
+
+    def new_pieces(self, pieces: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct pieces of these numbers of bytes, one after another, and how many each has."""
+        coded = self.merges.encode_batch_fast([pieces], is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(coded[0].ids, self.kind)
+        ends = np.cumsum(self.bytes_of[ids])
+        stops = np.searchsorted(ends, np.cumsum(sizes), "left") + 1
+        if len(ids) and stops[-1] == len(ids) and (ends[stops - 1] == np.cumsum(sizes)).all():
+            return ids, np.diff(stops, prepend=0)
+        each = [self.whole(p) for p in pieces]
+        return np.concatenate(each), np.array([len(x) for x in each])
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        """Ids of each text of a batch."""
+        out: list = [None] * (len(offsets) - 1)
+        plain = self.plain(data, offsets) if self.by_piece and len(data) else np.zeros(len(out), bool)
+        for row in np.flatnonzero(~plain).tolist():
+            out[row] = self.whole(data[offsets[row] : offsets[row + 1]].tobytes().decode())
+        if not plain.any():
+            return out
+        kind = _CLASS[data]
+        begins = np.ones(len(data), bool)
+        begins[1:] = (kind[1:] != kind[:-1]) & (kind[:-1] != _SPACE)
+        begins[offsets[:-1][offsets[:-1] < len(data)]] = True
+        used = np.repeat(plain, np.diff(offsets))
+        starts = np.flatnonzero(begins & used)
+        after = np.append(np.flatnonzero(begins), len(data))
+        ends = after[np.searchsorted(after, starts, "right")]
+        hashes = np.empty(len(starts), np.uint64)
+        for lo in range(0, len(data), CHUNK):
+            some = slice(*np.searchsorted(starts, (lo, lo + CHUNK)))
+            if some.start < some.stop:
+                hi = int(ends[some.stop - 1])
+                sums = prefix_hashes(data[lo:hi])
+                hashes[some] = span_hashes(sums, starts[some] - lo, ends[some] - lo)
+        entry = self.memo.find(hashes)
+        missing = np.flatnonzero(entry < 0)
+        if len(missing):
+            fresh, one = np.unique(hashes[missing], return_index=True)
+            if self.memo.n + len(fresh) > self.memo.entries:
+                self.memo.clear()
+                fresh, one = np.unique(hashes, return_index=True)
+                missing = np.arange(len(hashes))
+                if len(fresh) > self.memo.entries:
+                    self.memo = Memo(2 * len(fresh), self.kind)
+            self._remember(data, starts[missing[one]], ends[missing[one]], fresh)
+            entry[missing] = self.memo.find(hashes[missing])
+        first = self.memo.start[entry]
+        counts = self.memo.start[entry + 1] - first
+        stops = np.cumsum(counts)
+        ids = self.memo.ids[np.repeat(first - (stops - counts), counts) + np.arange(int(stops[-1]) if len(stops) else 0)]
+        bounds = np.concatenate(([0], stops))[np.searchsorted(starts, offsets)]
+        for row in np.flatnonzero(plain).tolist():
+            out[row] = ids[bounds[row] : bounds[row + 1]]
+        return out
+
+    def _remember(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> None:
+        buffer = data.tobytes()
+        pieces = [buffer[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist())]
+        self.memo.add(hashes, *self.new_pieces(pieces, ends - starts))
 
 
 _encoders: dict[tuple[int, str], Encoder] = {}
@@ -202,9 +321,10 @@ def write_token_ids(
             row = _block(shard, number, first, keys, ids, width)
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _TYPES)], _NAMES)
 
-        for batch in slices(batches, "text", 4 << 20):
-            for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                coded = encoder.encode(t) + end
+        for batch in slices(batches, "text", 1 << 19):
+            found = encoder.encode(*text_bytes(batch.column(1)))
+            for k, x in zip(batch.column(0).to_pylist(), found):
+                coded = x.tobytes() + end
                 keys.append(k)
                 ids.append(coded)
                 held_ids += len(coded) // width
