@@ -45,9 +45,9 @@ _ROSTER = """
 # Names looked for in texts: alias, canonical, and the alias as ``_marked`` spells it.
 _ALIASES = rf"""
     names AS (
-        SELECT regexp_extract(text, '^(\S+)', 1) AS short_name,
-               regexp_extract(text, '^(\S+\s+\S+)', 1) AS long_name
-        FROM benchmark
+        SELECT words[i] AS short_name, array_to_string(words[i : i + 1], ' ') AS long_name
+        FROM (SELECT words, unnest(range(1, len(words) + 1)) AS i
+              FROM (SELECT regexp_extract_all(text, '\S+') AS words FROM benchmark))
     ),
     spelled AS (
         SELECT lower(short_name) AS alias, short_name AS canonical FROM names WHERE short_name <> ''
@@ -67,7 +67,7 @@ _ALIASES = rf"""
 def _found(table: str, key: str) -> str:
     return f"""{_ALIASES},
     found AS (
-        SELECT {key}, alias, canonical
+        SELECT DISTINCT {key}, alias, canonical
         FROM (SELECT {key}, {_marked("lower(text)")} AS text FROM {table}) t
         JOIN aliases ON contains(t.text, marked)
     ),
@@ -79,6 +79,28 @@ _TURNS = "WITH" + _found("conversations", "conv_id, turn")
 _DOCUMENTS = "WITH" + _found("documents", "doc_id")
 
 
+def _loosely_marked(text: str) -> str:
+    """SQL that puts chr(1) between word and other characters, and chr(2) between others.
+
+    Edges count as other characters. An alias occurs without touching a word character if
+    and only if its own marked spelling is a part of the marked text.
+    """
+    others = rf"regexp_replace({_marked(text)}, '([^\p{{L}}\p{{N}}_\x01])', chr(2) || '\1' || chr(2), 'g')"
+    single = f"replace({others}, chr(2) || chr(2), chr(2))"
+    return f"replace(replace({single}, chr(2) || chr(1), chr(1)), chr(1) || chr(2), chr(1))"
+
+
+_LOOSE = f"""WITH {_ALIASES},
+    loose AS (SELECT alias, canonical, {_loosely_marked("alias")} AS spelled FROM aliases),
+    found AS (
+        SELECT doc_id, alias, canonical
+        FROM (SELECT doc_id, {_loosely_marked("lower(text)")} AS text FROM documents) t
+        JOIN loose ON contains(t.text, spelled)
+    )
+    SELECT canonical, count(*) AS mentions FROM found GROUP BY canonical
+"""
+
+
 def _ranked_quantity(direction: str) -> str:
     return f"""
     WITH g AS (
@@ -138,6 +160,12 @@ ORACLES = {
         )
         SELECT * FROM r WHERE rank <= 10
     """,
+    "large_groups_by_count": """
+        SELECT l_partkey, player_count, CAST(row_number() OVER
+            (ORDER BY player_count DESC, l_partkey) AS INTEGER) AS rank
+        FROM (SELECT l_partkey, count(*) AS player_count FROM lineitem GROUP BY l_partkey)
+        WHERE player_count >= 30 ORDER BY rank LIMIT 1000
+    """,
     "top_segments_by_count": """
         WITH g AS (
             SELECT c_mktsegment, count(*) AS player_count
@@ -280,10 +308,22 @@ ORACLES = {
         SELECT * EXCLUDE (p) FROM p WHERE p = 1
     """,
     "load_roster_from_files": """
-        SELECT count(DISTINCT (o_orderstatus, year(o_orderdate), o_custkey)) AS row_count,
-               string_agg(DISTINCT CAST(year(o_orderdate) AS VARCHAR), ','
-                          ORDER BY CAST(year(o_orderdate) AS VARCHAR)) AS years
-        FROM orders
+        WITH p AS (SELECT DISTINCT o_orderstatus, year(o_orderdate) AS year, o_custkey FROM orders)
+        SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS rejected,
+               string_agg(DISTINCT CAST(year AS VARCHAR), ',' ORDER BY CAST(year AS VARCHAR)) AS years,
+               count(*) AS rows_read, count(*) AS players_read, CAST(sum(o_custkey) AS BIGINT) AS ids_read
+        FROM p
+    """,
+    "standardize_season": """
+        SELECT 'M_1998_' || o_custkey AS player_id, o_custkey AS sofifa_id,
+               min(CAST(o_orderkey AS VARCHAR)) AS short_name,
+               arg_min(o_orderpriority, CAST(o_orderkey AS VARCHAR)) AS nationality_name,
+               'male' AS gender, 1998 AS year
+        FROM orders WHERE year(o_orderdate) = 1998 GROUP BY o_custkey
+    """,
+    "numeric_ids": """
+        SELECT o_orderkey, o_orderkey * 1000 AS sofifa_id FROM orders
+        UNION ALL SELECT o_orderkey, o_orderkey * 1000 FROM orders
     """,
     "manifest_gaps": """
         WITH expected AS (
@@ -297,6 +337,12 @@ ORACLES = {
         SELECT * FROM expected ANTI JOIN manifest USING ("group", year)
     """,
     "write_read_roster": _ROSTER,
+    "append_roster": _ROSTER,
+    "replace_seasons": f"""
+        SELECT * REPLACE (CASE WHEN year = 1998 THEN 'Other club' ELSE club_name END AS club_name)
+        FROM ({_ROSTER})
+    """,
+    "replace_table": f"SELECT * FROM ({_ROSTER}) WHERE year = 1998",
     "write_chunks": f"""
         SELECT * REPLACE (CASE WHEN gender IN ('f', 'o') THEN club_name END AS club_name)
         FROM ({_ROSTER})
@@ -347,8 +393,36 @@ ORACLES = {
     "whole_word_filter": f"""
         SELECT doc_id FROM documents WHERE regexp_matches(lower(text), '(^|{_N})of the({_N}|$)')
     """,
+    "escaped_phrase_filter": rf"""
+        SELECT doc_id FROM documents WHERE regexp_matches(lower(text), '(^|{_N})the\*\*\*({_N}|$)')
+    """,
+    "match_long_passages": f"""
+        WITH names AS (
+            SELECT lower(text) AS alias, min('Passage ' || item_id) AS canonical,
+                   any_value({_marked("lower(text)")}) AS marked,
+                   any_value(text) AS text FROM benchmark GROUP BY lower(text)
+            UNION ALL
+            SELECT lower('Passage ' || item_id), 'Passage ' || item_id,
+                   {_marked("lower('Passage ' || item_id)")}, '' FROM benchmark
+        ), aliases AS (
+            SELECT alias, canonical,
+                   CASE WHEN regexp_matches(alias, '^{_W}') THEN '' ELSE chr(1) END || marked ||
+                   CASE WHEN regexp_matches(alias, '{_W}$') THEN '' ELSE chr(1) END AS marked
+            FROM names
+        )
+        SELECT doc_id, alias, canonical
+        FROM (SELECT doc_id, {_marked("lower(text)")} AS text FROM documents) t
+        JOIN aliases ON contains(t.text, marked)
+    """,
     "match_mentions": _TURNS + "SELECT conv_id, turn, alias, canonical FROM found",
     "count_mentions": _TURNS + "SELECT * FROM counts",
+    "count_mentions_by_key": "WITH" + _found("conversations", "conv_id") + "SELECT * FROM counts",
+    "count_comments_without_id": "WITH comments AS ("
+    "SELECT row_number() OVER () AS comment, unnest(string_split(text, chr(10))) AS text"
+    " FROM conversations), lines AS (SELECT row_number() OVER () AS line, text FROM comments),"
+    + _found("lines", "line")
+    + "SELECT * FROM counts",
+    "count_loose_mentions": _LOOSE,
     "count_document_mentions": _DOCUMENTS + "SELECT * FROM counts",
     "count_document_mentions_unbroadcast": _DOCUMENTS + "SELECT * FROM counts",
     "top_mention": _TURNS + "SELECT * FROM counts ORDER BY mentions DESC, canonical LIMIT 1",
@@ -357,7 +431,7 @@ ORACLES = {
     "stream_mentions": _TURNS + "SELECT * FROM counts",
     "stream_dump": "SELECT * FROM conversations",
     "stream_dedup": "SELECT DISTINCT user_id, event_type FROM events",
-    "stream_take": "SELECT least(count(*), 1000) AS n_events FROM events",
+    "stream_take": "SELECT least(count(*), 1000) AS n_events, least(count(*), 1000) AS n_distinct, least(count(*), 1000) AS n_known FROM events",
 }
 
 

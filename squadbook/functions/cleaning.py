@@ -34,10 +34,16 @@ def clean_timestamp(column: Column) -> Column:
     return F.try_to_timestamp(F.trim(column.cast("string")))
 
 
-def tolerant_integer(column: Column, target: str) -> Column:
-    """Plain integer cast: ``2021.0`` -> 2021, but ``Jun 30, 2021`` -> NULL."""
-    whole = F.regexp_replace(F.trim(column.cast("string")), r"\.\d*$", "")
-    return whole.try_cast(target)
+def tolerant_integer(column: Column, target: str, source: T.DataType | None = None) -> Column:
+    """Plain integer cast: ``2021.0`` -> 2021, ``1.5E3`` -> 1500, but ``Jun 30, 2021`` -> NULL.
+
+    ``source`` is the column's type; numbers are cast as they are, all else as text.
+    """
+    if isinstance(source, T.NumericType):
+        return column.try_cast("decimal(38,10)").try_cast(target)
+    text = F.trim(column.cast("string"))
+    text = F.regexp_replace(text, r"\.$", "")
+    return F.when(text.rlike(WHOLE_NUMBER), text.try_cast("decimal(38,10)").try_cast(target))
 
 
 def digits_in(column: Column) -> Column:

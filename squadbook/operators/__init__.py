@@ -10,13 +10,14 @@ from .align import (
 )
 from .dedup import dedup_first, split_missing_key
 from .mentions import (
+    AliasTable,
     EmptyResultError,
     all_mentions,
     build_alias_dim,
     count_mentions,
     match_mentions,
     mention_summary,
-    profile_aliases,
+    prepare_aliases,
     top_mention,
 )
 from .ranking import (
@@ -30,6 +31,7 @@ from .ranking import (
 )
 
 __all__ = [
+    "AliasTable",
     "EmptyResultError",
     "all_mentions",
     "build_alias_dim",
@@ -45,7 +47,7 @@ __all__ = [
     "mode_per_partition",
     "normalize_columns",
     "order_columns",
-    "profile_aliases",
+    "prepare_aliases",
     "rank_groups_by_avg",
     "roster_cohort",
     "split_missing_key",

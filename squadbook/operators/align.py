@@ -14,9 +14,9 @@ from ..functions import coerce, digits_in, normalize_name, tolerant_integer
 from ..schema import CORE_COLUMNS, ENTITY_KEY, GENDER, SYNONYMS, URL_COLUMN, YEAR
 
 
-def normalize_columns(df: DataFrame) -> DataFrame:
-    """Rename every column to its canonical name; two headers must not meet in one."""
-    names = [normalize_name(header) for header in df.columns]
+def normalize_columns(df: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
+    """Rename every column but ``keep`` to its canonical name; no two may meet in one."""
+    names = [header if header in keep else normalize_name(header) for header in df.columns]
     seen = Counter(names)
     clashing = [old for old, new in zip(df.columns, names) if seen[new] > 1]
     if clashing:
@@ -59,7 +59,7 @@ def ensure_entity_key(
 ) -> DataFrame:
     """Give ``df`` a bigint key, from the digits of its URL where the column is missing."""
     if key in df.columns:
-        return df.withColumn(key, tolerant_integer(F.col(key), "bigint"))
+        return df.withColumn(key, tolerant_integer(F.col(key), "bigint", df.schema[key].dataType))
     if url_col in df.columns:
         return df.withColumn(key, digits_in(F.col(url_col)))
     raise ValueError(f"neither '{key}' nor '{url_col}' is among the columns {df.columns}")

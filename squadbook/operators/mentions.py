@@ -2,16 +2,22 @@
 
 A text is cut at every word boundary. An alias occurs as whole words exactly where a
 run of consecutive segments spells it, so joining the runs of a text with the aliases
-by equality finds every mention and nothing else: no pattern is tried per alias and no
-candidate pair has to be checked. The alias table has one row per alias, so a frequent
-word never meets more than one alias row.
+by equality finds every mention and nothing else: no pattern is tried per alias. The
+alias table has one row per alias, so a frequent word never meets more than one alias row.
+
+Runs have at most ``MAX_RUN`` segments, whatever the aliases: a longer alias is joined by
+its first segments, and only the places found there are compared with the rest of it.
 
 How the runs reach the aliases depends on the measured size of the alias table:
 
 * small: it is broadcast, and the texts are not shuffled;
-* large: runs are first cut down by a broadcast bitmap of alias hashes of bounded size.
-  Counting then adds equal runs up before the shuffle that meets the aliases; matching
-  salts the runs by their comment.
+* large: runs are first cut down by broadcast bitmaps of hashes, of bounded size: of first
+  segments, then of whole aliases. Counting then adds equal runs up before the shuffle that
+  meets the aliases; matching salts the runs by their comment.
+
+With ``boundary="word"`` an alias stands between word boundaries, so one that ends in ``.``
+needs a word character behind it. With ``"loose"`` it must not touch a word character on
+either side. Then non-word characters are cut one by one and the neighbours are looked at.
 """
 
 from __future__ import annotations
@@ -24,21 +30,26 @@ from pyspark.sql import functions as F
 
 from ..functions import segments, strip
 from ..functions.text import WORD
+from ..runtime import stored
 
 ALIAS, CANONICAL, MENTIONS = "alias", "canonical", "mentions"
+BOUNDARIES = ("word", "loose")
+
+# Segments of a run; what goes beyond them is compared where a run has been found.
+MAX_RUN = 8
 
 # Alias bytes up to which the table is broadcast; a hash table takes several times this.
 BROADCAST_BYTES = 64 << 20
 _ROW_OVERHEAD = 64
 
-# The alias bitmap: 2^27 bits in at most 2^21 words, about 100 MB as a hash table.
+# The bitmaps: 2^27 bits in at most 2^21 words, about 100 MB as a hash table.
 _BITMAP_BITS = 27
 _WORD_BITS = 6
 
 # A frequent run is spread over this many tasks when matches are listed.
 _SALTS = 32
 
-_HEAD, _PHRASE, _WORD, _BITS, _SALT = "__head", "__phrase", "__word", "__bits", "__salt"
+_ROW, _HEAD, _PHRASE, _RUN, _SALT = "__row", "__head", "__phrase", "__run", "__salt"
 
 
 class EmptyResultError(RuntimeError):
@@ -63,174 +74,274 @@ def build_alias_dim(
     )
 
 
+def _is_word(segment: Column) -> Column:
+    return segment.rlike(f"^[{WORD}]")
+
+
 @dataclass(frozen=True)
-class AliasProfile:
-    """What the plan of a mention join depends on: bytes, and shapes of the aliases."""
+class AliasTable:
+    """Aliases made ready for mention joins: a stored table and what was measured on it.
 
+    A shape is (starts with a word, ends with one, segments up to ``MAX_RUN``), so there are
+    few of them whatever the aliases.
+    """
+
+    names: DataFrame
+    boundary: str
     size: int
-    shapes: tuple[tuple[bool, int], ...]
-
-
-def profile_aliases(aliases: DataFrame) -> AliasProfile:
-    """Measure an alias table; a shape is (starts with a word, number of segments)."""
-    shape = F.struct(F.col(ALIAS).rlike(f"^[{WORD}]"), F.size(segments(F.lower(ALIAS))))
-    row = (
-        aliases.where(F.col(ALIAS) != "")
-        .agg(
-            F.sum(F.octet_length(ALIAS) + F.octet_length(CANONICAL) + _ROW_OVERHEAD).alias("size"),
-            F.collect_set(shape).alias("shapes"),
-        )
-        .first()
-    )
-    return AliasProfile(row["size"] or 0, tuple(sorted(map(tuple, row["shapes"]))))
+    shapes: tuple[tuple[bool, bool, int], ...]
+    longest: int
+
 
+def prepare_aliases(aliases: DataFrame, boundary: str = "word") -> AliasTable:
+    """Group aliases by lower-cased spelling, cut them, and store them for several joins.
 
-def _alias_phrases(aliases: DataFrame) -> DataFrame:
-    """The alias table by lower-cased alias; aliases that meet there become one."""
+    Aliases that meet in one spelling become one, of the smallest canonical name; empty ones
+    are dropped. The table lies in scratch space, see ``runtime.discard``.
+    """
+    if boundary not in BOUNDARIES:
+        raise ValueError(f"boundary must be one of {BOUNDARIES}")
     spelled = aliases.where(F.col(ALIAS) != "").groupBy(F.lower(ALIAS).alias(_PHRASE))
-    return spelled.agg(F.min(CANONICAL).alias(CANONICAL))
+    names = spelled.agg(F.min(CANONICAL).alias(CANONICAL))
+    names = names.withColumn("cut", segments(F.col(_PHRASE), boundary == "loose"))
+    first = F.slice("cut", 1, MAX_RUN)
+    names = names.select(
+        _PHRASE,
+        CANONICAL,
+        F.size("cut").alias("n"),
+        F.get("cut", F.lit(0)).alias(_HEAD),
+        F.array_join(first, "").alias(_RUN),
+        F.array_join(F.slice("cut", F.lit(MAX_RUN + 1), F.size("cut")), "").alias("rest"),
+        _is_word(F.get("cut", F.lit(0))).alias("starts"),
+        _is_word(F.element_at("cut", -1)).alias("ends"),
+    )
+    names = stored(names, "aliases")
+    shape = F.struct("starts", "ends", F.least("n", F.lit(MAX_RUN)))
+    row = names.agg(
+        F.sum(F.octet_length(_PHRASE) * 3 + F.octet_length(CANONICAL) + _ROW_OVERHEAD).alias("size"),
+        F.collect_set(shape).alias("shapes"),
+        F.max("n").alias("longest"),
+    ).first()
+    shapes = tuple(sorted(map(tuple, row["shapes"])))
+    return AliasTable(names, boundary, row["size"] or 0, shapes, row["longest"] or 0)
 
 
-def _text_runs(
-    comments: DataFrame,
-    text: str,
-    key: Sequence[str],
-    profile: AliasProfile,
-    heads: DataFrame | None = None,
-) -> DataFrame:
-    """``*key, __phrase``: the runs of segments in each text that have an alias's shape.
+def _prepared(aliases: DataFrame | AliasTable, boundary: str) -> AliasTable:
+    return aliases if isinstance(aliases, AliasTable) else prepare_aliases(aliases, boundary)
 
-    Texts are left behind here. With ``heads``, a table small enough to broadcast, only
-    runs that start with one of its segments are spelled out.
-    """
-    if not profile.shapes:
-        return comments.where(F.lit(False)).select(*key, F.lit("").alias(_PHRASE))
-    # Between two blanks every text starts and ends with a non-word segment. Both are cut
-    # off, as they touch no boundary on their outer side; words are then at even places.
-    padded = F.concat(F.lit(" "), F.lower(text), F.lit(" "))
-    cut = comments.select(*key, segments(padded).alias("__cut"))
-    longest = max(length for _, length in profile.shapes)
-    columns = [_HEAD, *(f"__s{i}" for i in range(1, longest))]
-    shifted = [
-        F.slice("__cut", F.lit(2 + i), F.greatest(F.size("__cut") - (2 + i), F.lit(0))).alias(name)
-        for i, name in enumerate(columns)
-    ]
-    starts = cut.select(*key, F.posexplode(F.arrays_zip(*shifted)).alias("__at", "__run"))
-    starts = starts.select(*key, "__at", "__run.*")
-    if all(on_word for on_word, _ in profile.shapes):
-        starts = starts.where(F.col("__at").bitwiseAND(F.lit(1)) == 0)
-    if heads is not None:
-        starts = starts.join(F.broadcast(heads), _HEAD, "left_semi")
 
-    # A run past the end is NULL.
-    def run(on_word: bool, length: int) -> Column:
-        parity = F.col("__at").bitwiseAND(F.lit(1)) == (0 if on_word else 1)
-        return F.when(parity, F.concat(*columns[:length]))
+def _keyed(comments: DataFrame, text: str, key: Sequence[str] | None) -> tuple[DataFrame, list[str]]:
+    """Comments with what tells them apart: the columns ``key``, or a number for each row."""
+    if key is not None:
+        return comments.select(*key, F.col(text).alias("__text")), list(key)
+    number = F.monotonically_increasing_id().alias(_ROW)
+    return comments.select(number, F.col(text).alias("__text")), [_ROW]
 
-    runs = F.array(*(run(*shape) for shape in profile.shapes))
-    spelled = starts.select(*key, F.explode(runs).alias(_PHRASE))
-    return spelled.where(F.col(_PHRASE).isNotNull())
 
+def _starts(comments: DataFrame, key: Sequence[str], table: AliasTable) -> DataFrame:
+    """A row for every segment of each text, with the segments behind it and its neighbours.
 
-def _slot() -> tuple[Column, Column]:
-    slot = F.xxhash64(_PHRASE).bitwiseAND(F.lit((1 << _BITMAP_BITS) - 1))
+    Texts are left behind here, unless aliases are longer than a run.
+    """
+    # Between two blanks every text starts and ends with a non-word segment. Both are cut
+    # off, as they touch no boundary on their outer side.
+    padded = F.concat(F.lit(" "), F.lower("__text"), F.lit(" "))
+    cut = comments.select(*key, segments(padded, table.boundary == "loose").alias("__cut"))
+    width = min(table.longest, MAX_RUN)
+    inner = F.size("__cut") - 2
+
+    def shifted(by: int) -> Column:
+        return F.slice("__cut", F.lit(2 + by), F.greatest(inner - by, F.lit(0)))
+
+    columns = {_HEAD: shifted(0)} | {f"__s{i}": shifted(i) for i in range(1, width)}
+    if table.boundary == "loose":
+        columns["__before"] = F.slice("__cut", F.lit(1), F.greatest(inner, F.lit(0)))
+        # Counted with the blank at the end, so that every run has a segment behind it.
+        for i in range(1, width + 1):
+            columns[f"__n{i}"] = F.slice("__cut", F.lit(2 + i), F.greatest(inner + 1 - i, F.lit(0)))
+    zipped = F.arrays_zip(*[c.alias(name) for name, c in columns.items()])
+    # An outer explode: else its argument would be computed again to rule out empty arrays.
+    kept = ["__cut"] if table.longest > MAX_RUN else []
+    starts = cut.select(*key, *kept, F.posexplode_outer(zipped).alias("__at", "__z"))
+    starts = starts.where(F.col(f"__z.{_HEAD}").isNotNull())
+    return starts.select(*key, *kept, "__at", "__z.*")
+
+
+def _runs(starts: DataFrame, key: Sequence[str], table: AliasTable, long: bool) -> DataFrame:
+    """Rows of ``starts`` with ``__run``: runs that have the shape of an alias.
+
+    ``long`` asks for the runs that aliases longer than ``MAX_RUN`` begin with, with the cut
+    text and the place; otherwise for those that short aliases are.
+    """
+    # In word mode words are at even places; in loose mode the segment itself is looked at.
+    if table.boundary == "word":
+        on_word = F.col("__at").bitwiseAND(F.lit(1)) == 0
+    else:
+        on_word = _is_word(F.col(_HEAD))
+
+    def run(starts_word: bool, ends_word: bool, length: int) -> Column:
+        fits = on_word if starts_word else ~on_word
+        if table.boundary == "loose":
+            if not starts_word:
+                fits = fits & ~_is_word(F.col("__before"))
+            if not long:
+                last = F.col(f"__s{length - 1}" if length > 1 else _HEAD)
+                outside = _is_word(last) if ends_word else ~_is_word(last) & ~_is_word(F.col(f"__n{length}"))
+                fits = fits & outside
+        return F.when(fits, F.concat(_HEAD, *(f"__s{i}" for i in range(1, length))))
+
+    # The end of a long alias is looked at with the rest of it.
+    shapes = {(s, True, n) if long else (s, e, n) for s, e, n in table.shapes if n == MAX_RUN or not long}
+    spelled = sorted(shapes)
+    kept = ["__cut", "__at"] if long else []
+    found = starts.select(*key, *kept, F.explode(F.array(*(run(*s) for s in spelled))).alias(_RUN))
+    return found.where(F.col(_RUN).isNotNull())
+
+
+def _slot(column: str) -> tuple[Column, Column]:
+    slot = F.xxhash64(column).bitwiseAND(F.lit((1 << _BITMAP_BITS) - 1))
     word = F.shiftright(slot, _WORD_BITS)
     bit = slot.bitwiseAND(F.lit((1 << _WORD_BITS) - 1)).cast("int")
     return word, bit
 
 
-def _prefilter(runs: DataFrame, names: DataFrame) -> DataFrame:
-    """Drop runs that hash to no alias, by a broadcast bitmap of at most 2^21 words."""
-    word, bit = _slot()
+def _prefilter(rows: DataFrame, names: DataFrame, column: str) -> DataFrame:
+    """Drop rows whose column hashes to no alias's, by a bitmap of at most 2^21 words."""
+    word, bit = _slot(column)
     one_bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
-    bitmap = names.groupBy(word.alias(_WORD)).agg(F.bit_or(one_bit).alias(_BITS))
+    bitmap = names.groupBy(word.alias("__word")).agg(F.bit_or(one_bit).alias("__bits"))
     return (
-        runs.withColumn(_WORD, word)
-        .join(F.broadcast(bitmap), _WORD)
-        .where(F.getbit(_BITS, bit) == 1)
-        .drop(_WORD, _BITS)
+        rows.withColumn("__word", word)
+        .join(F.broadcast(bitmap), "__word")
+        .where(F.getbit("__bits", bit) == 1)
+        .drop("__word", "__bits")
     )
 
 
-def _found_by_broadcast(
-    comments: DataFrame, text: str, key: Sequence[str], profile: AliasProfile, names: DataFrame
+def _long_found(runs: DataFrame, key: Sequence[str], names: DataFrame, table: AliasTable) -> DataFrame:
+    """Mentions of aliases longer than a run, from the places where their beginnings are."""
+    candidates = runs.join(names, _RUN)
+    behind = F.col("__at") + F.lit(2 + MAX_RUN)
+    rest = F.array_join(F.slice("__cut", behind, F.col("n") - MAX_RUN), "")
+    same = (rest == F.col("rest")) & (F.size("__cut") > F.col("__at") + F.col("n") + 1)
+    if table.boundary == "loose":
+        after = F.get("__cut", F.col("__at") + 1 + F.col("n"))
+        same = same & (F.col("ends") | ~_is_word(after))
+    return candidates.where(same).select(*key, _PHRASE, CANONICAL)
+
+
+def _none(comments: DataFrame, key: Sequence[str]) -> DataFrame:
+    nothing = [F.lit("").alias(_PHRASE), F.lit("").alias(CANONICAL)]
+    return comments.where(F.lit(False)).select(*key, *nothing)
+
+
+def _found(
+    comments: DataFrame, key: Sequence[str], table: AliasTable, broadcast: bool, each_place: bool
 ) -> DataFrame:
-    head = segments(F.col(_PHRASE))[0]
-    heads = names.select(head.alias(_HEAD)).distinct()
-    runs = _text_runs(comments, text, key, profile, heads)
-    return runs.join(F.broadcast(names), _PHRASE)
+    """``*key, __phrase, canonical`` of mentions: every place, or at least once a comment."""
+    if not table.shapes:
+        return _none(comments, key)
+    names = table.names
+    short, long = names.where(F.col("n") <= MAX_RUN), names.where(F.col("n") > MAX_RUN)
+    starts = _starts(comments, key, table)
+    if broadcast:
+        heads = names.select(_HEAD).distinct()
+        starts = starts.join(F.broadcast(heads), _HEAD, "left_semi")
+        runs = _runs(starts, key, table, False)
+        found = runs.join(F.broadcast(short), _RUN).select(*key, _PHRASE, CANONICAL)
+        long = F.broadcast(long)
+    else:
+        starts = _prefilter(starts, names, _HEAD)
+        runs = _prefilter(_runs(starts, key, table, False), short, _RUN)
+        runs = runs if each_place else runs.distinct()
+        salts = F.sequence(F.lit(0).cast("bigint"), F.lit(_SALTS - 1).cast("bigint"))
+        salted = short.withColumn(_SALT, F.explode(salts))
+        salt = F.pmod(F.xxhash64(*key), F.lit(_SALTS))
+        found = runs.withColumn(_SALT, salt).join(salted, [_RUN, _SALT]).select(*key, _PHRASE, CANONICAL)
+    if table.longest > MAX_RUN:
+        beginnings = _runs(starts, key, table, True)
+        if not broadcast:
+            beginnings = _prefilter(beginnings, long, _RUN)
+        found = found.union(_long_found(beginnings, key, long, table))
+    return found
 
 
 def match_mentions(
     comments: DataFrame,
-    aliases: DataFrame,
-    key: Sequence[str] = ("comment_id",),
+    aliases: DataFrame | AliasTable,
+    key: Sequence[str] | None = ("comment_id",),
     text: str = "text",
     broadcast_bytes: int = BROADCAST_BYTES,
-    profile: AliasProfile | None = None,
+    boundary: str = "word",
 ) -> DataFrame:
     """``*key, alias, canonical`` for each comment and alias found in it as whole words.
 
-    ``key`` tells comments apart. Measures ``aliases`` with a small job of its own
-    unless ``profile`` is given.
+    ``key`` tells comments apart; with ``None`` every row is a comment, and the result has
+    no key columns. ``aliases`` may be prepared already, then its boundary holds.
     """
-    return all_mentions(comments, aliases, key, text, broadcast_bytes, profile).distinct()
+    table = _prepared(aliases, boundary)
+    rows, columns = _keyed(comments, text, key)
+    found = _found(rows, columns, table, table.size <= broadcast_bytes, False).distinct()
+    return found.select(*(key or ()), F.col(_PHRASE).alias(ALIAS), CANONICAL)
 
 
 def all_mentions(
     comments: DataFrame,
-    aliases: DataFrame,
-    key: Sequence[str] = ("comment_id",),
+    aliases: DataFrame | AliasTable,
+    key: Sequence[str] | None = ("comment_id",),
     text: str = "text",
     broadcast_bytes: int = BROADCAST_BYTES,
-    profile: AliasProfile | None = None,
+    boundary: str = "word",
 ) -> DataFrame:
     """As ``match_mentions``, one row for every place an alias occurs at."""
-    profile = profile or profile_aliases(aliases)
-    names = _alias_phrases(aliases)
-    if profile.size <= broadcast_bytes:
-        found = _found_by_broadcast(comments, text, key, profile, names)
-    else:
-        salts = F.sequence(F.lit(0).cast("bigint"), F.lit(_SALTS - 1).cast("bigint"))
-        salted = names.withColumn(_SALT, F.explode(salts))
-        runs = _prefilter(_text_runs(comments, text, key, profile), names)
-        salt = F.pmod(F.xxhash64(*key), F.lit(_SALTS))
-        found = runs.withColumn(_SALT, salt).join(salted, [_PHRASE, _SALT])
-    return found.select(*key, F.col(_PHRASE).alias(ALIAS), CANONICAL)
+    table = _prepared(aliases, boundary)
+    rows, columns = _keyed(comments, text, key)
+    found = _found(rows, columns, table, table.size <= broadcast_bytes, True)
+    return found.select(*(key or ()), F.col(_PHRASE).alias(ALIAS), CANONICAL)
 
 
 def count_mentions(
     comments: DataFrame,
-    aliases: DataFrame,
-    key: Sequence[str] = ("comment_id",),
+    aliases: DataFrame | AliasTable,
+    key: Sequence[str] | None = None,
     text: str = "text",
     broadcast_bytes: int = BROADCAST_BYTES,
-    profile: AliasProfile | None = None,
+    boundary: str = "word",
 ) -> DataFrame:
     """``canonical, mentions``: one for each comment and alias of the name found in it.
 
-    A repeated alias counts once per comment; two aliases of one name count twice.
+    A repeated alias counts once per comment; two aliases of one name count twice. Every row
+    is a comment, unless ``key`` names columns whose equal values make rows one comment.
+    Rows are numbered as they are read, ahead of all shuffles, so a task that runs again
+    must get the same rows; tables and files do.
     """
-    profile = profile or profile_aliases(aliases)
-    names = _alias_phrases(aliases)
-    if profile.size <= broadcast_bytes:
-        found = _found_by_broadcast(comments, text, key, profile, names).distinct()
+    table = _prepared(aliases, boundary)
+    rows, columns = _keyed(comments, text, key)
+    if table.size <= broadcast_bytes or table.longest > MAX_RUN or not table.shapes:
+        found = _found(rows, columns, table, table.size <= broadcast_bytes, False).distinct()
         return found.groupBy(CANONICAL).agg(F.count(F.lit(1)).alias(MENTIONS))
-    runs = _prefilter(_text_runs(comments, text, key, profile), names).distinct()
-    counted = runs.groupBy(_PHRASE).agg(F.count(F.lit(1)).alias(MENTIONS))
+    starts = _prefilter(_starts(rows, columns, table), table.names, _HEAD)
+    runs = _prefilter(_runs(starts, columns, table, False), table.names, _RUN).distinct()
+    counted = runs.groupBy(_RUN).agg(F.count(F.lit(1)).alias(MENTIONS))
     return (
-        counted.join(names, _PHRASE).groupBy(CANONICAL).agg(F.sum(MENTIONS).alias(MENTIONS))
+        counted.join(table.names, _RUN).groupBy(CANONICAL).agg(F.sum(MENTIONS).alias(MENTIONS))
     )
 
 
 def top_mention(counts: DataFrame, on_empty: str = "error") -> DataFrame:
-    """The most mentioned name (ties: the smallest); an empty count is an error or no row."""
+    """The most mentioned name (ties: the smallest); an empty count is an error or no row.
+
+    To tell an empty count the row is computed, once, and returned as a table of one row.
+    """
     if on_empty not in ("error", "empty"):
         raise ValueError("on_empty must be 'error' or 'empty'")
     top = counts.orderBy(F.desc(MENTIONS), F.asc(CANONICAL)).limit(1)
-    if on_empty == "error" and top.isEmpty():
+    if on_empty == "empty":
+        return top
+    row = top.first()
+    if row is None:
         raise EmptyResultError("no mentions found")
-    return top
+    return counts.sparkSession.createDataFrame([row], top.schema)
 
 
 def mention_summary(counts: DataFrame) -> DataFrame:

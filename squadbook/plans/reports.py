@@ -12,7 +12,7 @@ from ..operators.mentions import (
     build_alias_dim,
     count_mentions,
     mention_summary,
-    profile_aliases,
+    prepare_aliases,
 )
 from ..operators.ranking import (
     mode_per_partition,
@@ -52,15 +52,18 @@ def most_discussed_player(
     comments: DataFrame,
     year: int = 2022,
     group: str = "male",
-    key: Sequence[str] = ("comment_id",),
+    key: Sequence[str] | None = None,
+    boundary: str = "word",
 ) -> DataFrame:
-    """Mentions of a season's players in comments, beside the most mentioned of them."""
-    aliases = stored(build_alias_dim(roster_cohort(roster, year, group)), "aliases")
-    profile = profile_aliases(aliases)
-    if not profile.shapes:
+    """Mentions of a season's players in comments, beside the most mentioned of them.
+
+    Every row of ``comments`` is a comment, unless ``key`` names what tells them apart.
+    """
+    aliases = prepare_aliases(build_alias_dim(roster_cohort(roster, year, group)), boundary)
+    if not aliases.shapes:
         raise EmptyResultError(f"no players in the {group} roster of {year}")
-    counts = stored(count_mentions(comments, aliases, key, profile=profile), "mentions")
+    counts = stored(count_mentions(comments, aliases, key), "mentions")
     summary = mention_summary(counts)
-    if summary.isEmpty():
+    if counts.isEmpty():
         raise EmptyResultError("no mentions found")
     return summary

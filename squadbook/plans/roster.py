@@ -32,7 +32,7 @@ from ..schema import (
 )
 from ..sinks.ingestion_log import append_log
 from ..sinks.tables import write_roster
-from ..sources.rosters import SeasonFile, read_manifest
+from ..sources.rosters import GROUP, SEASON, SeasonFile, read_manifest
 
 # Cast as they stand: in "Jun 30, 2021" the first number is no contract year.
 _PLAIN_INTEGERS = ("contract_valid_until", "age")
@@ -44,7 +44,9 @@ def _complete(df: DataFrame) -> DataFrame:
     for target, source in NAME_FALLBACKS.items():
         df = fallback_column(df, target, source)
     plain = {
-        name: tolerant_integer(F.col(name), "int") if name in df.columns else F.lit(None).cast("int")
+        name: tolerant_integer(F.col(name), "int", df.schema[name].dataType)
+        if name in df.columns
+        else F.lit(None).cast("int")
         for name in _PLAIN_INTEGERS
     }
     player_id = composite_id(F.col(GENDER), F.col(YEAR), F.col(ENTITY_KEY))
@@ -56,16 +58,11 @@ def standardize_roster(df: DataFrame, year: int, group: str) -> DataFrame:
     return dedup_first(_complete(tag_source(normalize_columns(df), year, group)), [PLAYER_ID])
 
 
-def _seasons_by_header(
-    seasons: Iterable[tuple[SeasonFile, DataFrame]],
-) -> list[DataFrame]:
-    """Tagged seasons, those with the same columns in one frame: they align alike."""
-    by_header: dict[tuple[str, ...], list[DataFrame]] = {}
-    for entry, raw in seasons:
-        named = normalize_columns(raw)
-        tagged = tag_source(named, entry.year, entry.group)
-        by_header.setdefault(tuple(sorted(named.columns)), []).append(tagged)
-    return [union_rosters(frames) for frames in by_header.values()]
+def _tagged(raw: DataFrame) -> DataFrame:
+    """Raw rows of several seasons under canonical names, with their season and group."""
+    named = normalize_columns(raw, keep=(GROUP, SEASON))
+    tags = {YEAR: F.col(SEASON), GENDER: F.lower(GROUP)}
+    return named.withColumns(tags).drop(GROUP, SEASON)
 
 
 def build_roster(
@@ -80,10 +77,10 @@ def build_roster(
 
     The player id holds group and season, so one selection over the union does the work
     of one per file: of several rows with one id the first by ``order`` stays, then by
-    the other columns. ``sort=False`` leaves the global sort to the sink.
+    the other columns. The plan has one scan and one alignment for each distinct header. ``sort=False`` leaves the global sort to the sink.
     """
-    seasons = _seasons_by_header(read_manifest(spark, manifest, expected, infer))
-    aligned = union_rosters(_complete(frame) for frame in seasons)
+    frames = read_manifest(spark, manifest, expected, infer)
+    aligned = union_rosters(_complete(_tagged(frame)) for frame in frames)
     unified = order_columns(conform(aligned, REQUIRED_COLUMNS, TYPE_MAP))
     keyed, rejected = split_missing_key(unified, PLAYER_ID)
     roster = dedup_first(keyed, [PLAYER_ID], order)
@@ -102,10 +99,14 @@ def load_roster(
     log_path: str,
     expected: Mapping[str, Sequence[int]] = EXPECTED_SEASONS,
 ) -> int:
-    """Build, write and log a roster in one pass over the files; returns its row count."""
-    roster, _ = build_roster(spark, manifest, expected, sort=False)
+    """Build, write and log a roster; returns its row count.
+
+    The roster is built and written in one pass over the files. Rows without a player id are
+    counted in a second one, that parses only what an id is made of, and logged as well.
+    """
+    roster, rejected = build_roster(spark, manifest, expected, sort=False)
     observation = Observation()
     write_roster(roster, target, observation=observation)
     metrics = observation.get
-    append_log(spark, metrics, manifest, log_path)
+    append_log(spark, metrics, manifest, log_path, rejected.count())
     return metrics["row_count"]

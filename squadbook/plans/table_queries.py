@@ -3,13 +3,15 @@
 The roster domain is mapped on ``orders``: the customer is the entity, the year of the
 order the season, its status the group and its priority a small category. Comments are
 the turns of ``conversations`` and the texts of ``documents``; the names looked for in
-them are the opening words of ``benchmark`` passages.
+them are all words and two-word runs of ``benchmark`` passages.
 
 Queries that write go through a fresh folder of the session's shared scratch space.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,12 +24,14 @@ from ..functions import (
     contains_phrase,
     digits_in,
 )
-from ..runtime import scratch_path
+from ..runtime import scratch_path, stored
 from ..schema import COMMENT_PAGE_SCHEMA, CORE_COLUMNS
 from . import reports
-from .roster import build_roster, load_roster, sort_roster
+from .roster import build_roster, load_roster, sort_roster, standardize_roster
 
 TURN = ["conv_id", "turn"]
+# Seasons of orders, as a manifest would list them: each status has some in every year.
+ORDER_SEASONS = {status: list(range(1995, 2002)) for status in "FOP"}
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -41,23 +45,30 @@ def _in_year(column: str, year: int) -> Column:
 
 
 def _names(spark: SparkSession, sf: str) -> DataFrame:
-    """Names to look for: the first word of a passage, and its first two as long name."""
-    text = F.col("text")
-    return _table(spark, sf, "benchmark").select(
-        F.regexp_extract(text, r"^(\S+)", 1).alias("short_name"),
-        F.regexp_extract(text, r"^(\S+\s+\S+)", 1).alias("long_name"),
+    """Names to look for: every word of a passage, with the next one as long name."""
+    words = F.regexp_extract_all("text", F.lit(r"\S+"), F.lit(0))
+    pairs = F.transform(
+        F.array(words),
+        lambda w: F.transform(
+            w, lambda x, i: F.struct(x.alias("short_name"), F.concat_ws(" ", x, F.get(w, i + 1)).alias("long_name"))
+        ),
     )
+    names = _table(spark, sf, "benchmark").select(F.explode(F.flatten(pairs)).alias("name"))
+    return names.select("name.*")
 
 
 def _aliases(spark: SparkSession, sf: str) -> DataFrame:
     return op.build_alias_dim(_names(spark, sf))
 
 
-def _roster(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders in the columns of a roster."""
+def _roster(spark: SparkSession, sf: str, season: int | None = None) -> DataFrame:
+    """Orders in the columns of a roster; of one season as a range that the scan can use."""
     year = F.year("o_orderdate")
     priority = F.substring("o_orderpriority", 1, 1).cast("int")
-    return _table(spark, sf, "orders").select(
+    orders = _table(spark, sf, "orders")
+    if season is not None:
+        orders = orders.where(_in_year("o_orderdate", season))
+    return orders.select(
         composite_id(F.col("o_orderstatus"), year, F.col("o_orderkey")).alias("player_id"),
         year.alias("year"),
         F.lower("o_orderstatus").alias("gender"),
@@ -79,6 +90,10 @@ def top_groups_by_count(spark, sf):
     return op.top_groups_by_count(orders, "o_custkey", 10, in_season)
 
 
+def large_groups_by_count(spark, sf):
+    return op.top_groups_by_count(_table(spark, sf, "lineitem"), "l_partkey", 1000, min_count=30)
+
+
 def top_segments_by_count(spark, sf):
     # Orders are counted per customer first: a customer with a third of them joins as one row.
     counted = op.count_by(_table(spark, sf, "orders"), ["o_custkey"], "n")
@@ -125,7 +140,7 @@ def count_by(spark, sf):
 
 
 def roster_cohort(spark, sf):
-    return op.roster_cohort(_roster(spark, sf), 1998, "F")
+    return op.roster_cohort(_roster(spark, sf, 1998), 1998, "F")
 
 
 def take_first(spark, sf):
@@ -140,11 +155,11 @@ def dedup_first(spark, sf):
 
 
 def expiring_contracts(spark, sf):
-    return reports.expiring_contracts(_roster(spark, sf), 1998, 10, 2001)
+    return reports.expiring_contracts(_roster(spark, sf, 1998), 1998, 10, 2001)
 
 
 def average_age_ranking(spark, sf):
-    ranked = reports.average_age_ranking(_roster(spark, sf), 1998, 10, "asc")
+    ranked = reports.average_age_ranking(_roster(spark, sf, 1998), 1998, 10, "asc")
     return ranked.withColumn("average_age", F.round("average_age", 6))
 
 
@@ -159,7 +174,7 @@ def nationality_histogram(spark, sf):
 def most_discussed_player(spark, sf):
     roster = op.tag_source(_names(spark, sf), 2022, "male")
     comments = _table(spark, sf, "conversations")
-    return reports.most_discussed_player(roster, comments, 2022, "male", TURN)
+    return reports.most_discussed_player(roster, comments, 2022, "male")
 
 
 # Cleaning and alignment
@@ -260,15 +275,12 @@ def _season_files(spark, sf) -> tuple[list[sources.SeasonFile], dict[str, list[i
     )
     writer = orders.write.partitionBy("o_orderstatus", "o_year")
     writer.option("header", True).csv(folder)
-    # A handful of rows: the seasons there are, as a manifest would list them.
-    seasons = orders.select("o_orderstatus", "o_year").distinct().collect()
     manifest = [
-        sources.SeasonFile(s, y, f"{folder}/o_orderstatus={s}/o_year={y}") for s, y in seasons
+        sources.SeasonFile(s, y, f"{folder}/o_orderstatus={s}/o_year={y}")
+        for s, seasons in ORDER_SEASONS.items()
+        for y in seasons
     ]
-    expected: dict[str, list[int]] = {}
-    for status, season in sorted(seasons):
-        expected.setdefault(status, []).append(season)
-    return manifest, expected
+    return manifest, ORDER_SEASONS
 
 
 def build_roster_from_files(spark, sf):
@@ -284,7 +296,34 @@ def load_roster_from_files(spark, sf):
     target, log = scratch_path(spark, "players"), scratch_path(spark, "log")
     load_roster(spark, manifest, target, log, expected)
     years = F.array_join(F.col("years").cast("array<string>"), ",").alias("years")
-    return spark.read.parquet(log).select("row_count", years)
+    logged = spark.read.parquet(log).select("row_count", years, "rejected")
+    read = spark.read.parquet(target).agg(
+        F.count(F.lit(1)).alias("rows_read"),
+        F.countDistinct("player_id").alias("players_read"),
+        F.sum("sofifa_id").alias("ids_read"),
+    )
+    return logged.join(read)
+
+
+def standardize_season(spark, sf):
+    """One season's raw columns under untidy headers, on their own."""
+    orders = _table(spark, sf, "orders").where(_in_year("o_orderdate", 1998))
+    raw = orders.select(
+        F.col("o_custkey").cast("double").alias("Sofifa ID"),
+        F.col("o_orderkey").cast("string").alias("Name"),
+        F.col("o_orderpriority").alias("Nationality"),
+    )
+    season = standardize_roster(raw, 1998, "Male")
+    return season.select("player_id", "sofifa_id", "short_name", "nationality_name", "gender", "year")
+
+
+def numeric_ids(spark, sf):
+    """Ids as doubles and as texts with an exponent: none is lost."""
+    orders = _table(spark, sf, "orders")
+    number = (F.col("o_orderkey") * 1000).cast("double")
+    doubles = op.ensure_entity_key(orders.select("o_orderkey", number.alias("sofifa_id")))
+    texts = op.ensure_entity_key(orders.select("o_orderkey", number.cast("string").alias("sofifa_id")))
+    return doubles.union(texts)
 
 
 def manifest_gaps(spark, sf):
@@ -313,6 +352,34 @@ def write_chunks(spark, sf):
     return spark.read.parquet(target)
 
 
+def append_roster(spark, sf):
+    target = scratch_path(spark, "appended")
+    roster = _roster(spark, sf)
+    sinks.write_roster(roster.where("gender = 'f'"), target)
+    sinks.write_roster(roster.where("gender <> 'f'"), target, mode="append")
+    return spark.read.parquet(target)
+
+
+def replace_seasons(spark, sf):
+    """Of a whole roster one season is written again, with other clubs."""
+    target = scratch_path(spark, "replaced")
+    sinks.write_roster(_roster(spark, sf), target)
+    changed = _roster(spark, sf, 1998).withColumn("club_name", F.lit("Other club"))
+    sinks.write_roster(changed, target, mode="replace_seasons")
+    return spark.read.parquet(target)
+
+
+def replace_table(spark, sf):
+    """A table that exists is replaced; its database is made on the way."""
+    sinks.ensure_database(spark, "squadbook_queries")
+    table = f"squadbook_queries.players_{uuid.uuid4().hex}"
+    sinks.write_roster(_roster(spark, sf, 1997), table)
+    sinks.write_roster(_roster(spark, sf, 1998), table)
+    stored_rows = stored(spark.table(table), "players")
+    spark.sql(f"DROP TABLE {table}")
+    return stored_rows
+
+
 def ingestion_log(spark, sf):
     log = scratch_path(spark, "log")
     price = F.col("o_totalprice").cast("decimal(15,2)").alias("price")
@@ -346,11 +413,11 @@ def _search_pages(spark, sf) -> DataFrame:
 
 
 def extract_video_ids(spark, sf):
-    return sources.extract_video_ids(_search_pages(spark, sf))
+    return sources.extract_video_ids(_search_pages(spark, sf), per_term=25)
 
 
 def extract_all_video_ids(spark, sf):
-    return sources.extract_video_ids(_search_pages(spark, sf), per_term=None)
+    return sources.extract_video_ids(_search_pages(spark, sf))
 
 
 def _comment_pages(spark, sf) -> DataFrame:
@@ -384,10 +451,9 @@ def split_corrupt(spark, sf):
     )
     shortened = F.expr("substring(page, 1, length(page) - 1)")
     damaged = pages.withColumn("page", F.when(cut_off, shortened).otherwise(F.col("page")))
-    good, bad = sources.split_corrupt(damaged, COMMENT_PAGE_SCHEMA)
-    return good.select("video_id", "page_no", F.size("parsed.items").alias("items")).unionByName(
-        bad.select("video_id", "page_no", F.lit(None).cast("int").alias("items"))
-    )
+    parsed = sources.parse_pages(damaged, COMMENT_PAGE_SCHEMA)
+    items = F.when(~F.col("broken"), F.size("parsed.items")).alias("items")
+    return parsed.select("video_id", "page_no", items)
 
 
 def dump_comments(spark, sf):
@@ -409,25 +475,57 @@ def whole_word_filter(spark, sf):
     return documents.where(contains_phrase(F.col("text"), F.lit("Of the"))).select("doc_id")
 
 
+def escaped_phrase_filter(spark, sf):
+    """A phrase of characters that are operators in a pattern."""
+    documents = _table(spark, sf, "documents")
+    return documents.where(contains_phrase(F.col("text"), F.lit("the***"), "loose")).select("doc_id")
+
+
 def match_mentions(spark, sf):
     return op.match_mentions(_table(spark, sf, "conversations"), _aliases(spark, sf), TURN)
 
 
 def _turn_counts(spark, sf):
-    return op.count_mentions(_table(spark, sf, "conversations"), _aliases(spark, sf), TURN)
+    return op.count_mentions(_table(spark, sf, "conversations"), _aliases(spark, sf))
 
 
 def count_mentions(spark, sf):
     return _turn_counts(spark, sf)
 
 
+def count_mentions_by_key(spark, sf):
+    """Turns of one conversation are one comment."""
+    return op.count_mentions(_table(spark, sf, "conversations"), _aliases(spark, sf), ["conv_id"])
+
+
+def count_comments_without_id(spark, sf):
+    """Landed pages whose comments have no id: each counts all the same."""
+    no_ids = F.regexp_replace("page", r'"id":"[0-9-]*",', "")
+    comments = sources.extract_comments(_comment_pages(spark, sf).withColumn("page", no_ids))
+    return op.count_mentions(comments.where("comment_id = ''"), _aliases(spark, sf))
+
+
+def count_loose_mentions(spark, sf):
+    """Names end in a full stop where a passage does."""
+    documents = _table(spark, sf, "documents")
+    return op.count_mentions(documents, _aliases(spark, sf), boundary="loose")
+
+
 def count_document_mentions(spark, sf):
-    return op.count_mentions(_table(spark, sf, "documents"), _aliases(spark, sf), ["doc_id"])
+    return op.count_mentions(_table(spark, sf, "documents"), _aliases(spark, sf))
 
 
 def count_document_mentions_unbroadcast(spark, sf):
     documents = _table(spark, sf, "documents")
-    return op.count_mentions(documents, _aliases(spark, sf), ["doc_id"], broadcast_bytes=0)
+    return op.count_mentions(documents, _aliases(spark, sf), broadcast_bytes=0)
+
+
+def match_long_passages(spark, sf):
+    """Whole passages as names, of many more segments than a run has."""
+    passages = _table(spark, sf, "benchmark").select(
+        F.concat_ws(" ", F.lit("Passage"), "item_id").alias("short_name"), F.col("text").alias("long_name")
+    )
+    return op.match_mentions(_table(spark, sf, "documents"), op.build_alias_dim(passages), ["doc_id"])
 
 
 def top_mention(spark, sf):
@@ -456,7 +554,6 @@ def _count_stream(spark, sf) -> tuple[str, str]:
         counts,
         f"{folder}/checkpoint",
         dump_path=dump,
-        key=TURN,
     ).awaitTermination()
     return counts, dump
 
@@ -488,14 +585,23 @@ def stream_dedup(spark, sf):
 
 
 def stream_take(spark, sf):
-    taken = streaming.stream_take(_stream(spark, sf, "events").select("event_id"), 1000)
-    return _appended(taken, "taken").agg(F.count(F.lit(1)).alias("n_events"))
+    folder = scratch_path(spark, "taken")
+    events = _stream(spark, sf, "events").select("event_id")
+    streaming.write_first(events, 1000, f"{folder}/rows", f"{folder}/checkpoint")
+    taken = spark.read.parquet(f"{folder}/rows")
+    known = _table(spark, sf, "events").select("event_id", F.lit(1).alias("known"))
+    return taken.join(known, "event_id", "left").agg(
+        F.count(F.lit(1)).alias("n_events"),
+        F.countDistinct("event_id").alias("n_distinct"),
+        F.count("known").alias("n_known"),
+    )
 
 
 QUERIES = {
     query.__name__: query
     for query in (
         top_groups_by_count,
+        large_groups_by_count,
         top_segments_by_count,
         rank_groups_by_avg_desc,
         rank_groups_by_avg_asc,
@@ -517,8 +623,13 @@ QUERIES = {
         union_conform,
         build_roster_from_files,
         load_roster_from_files,
+        standardize_season,
+        numeric_ids,
         manifest_gaps,
         write_read_roster,
+        append_roster,
+        replace_seasons,
+        replace_table,
         write_chunks,
         ingestion_log,
         extract_video_ids,
@@ -528,8 +639,13 @@ QUERIES = {
         dump_comments,
         alias_dim,
         whole_word_filter,
+        escaped_phrase_filter,
         match_mentions,
+        match_long_passages,
         count_mentions,
+        count_mentions_by_key,
+        count_comments_without_id,
+        count_loose_mentions,
         count_document_mentions,
         count_document_mentions_unbroadcast,
         top_mention,

@@ -50,8 +50,9 @@ def discard(spark: SparkSession, paths: Iterable[str] | None = None) -> None:
             made.remove(text)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """``df`` as a table in scratch space, for results several jobs read again."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    writer = df.write if compression is None else df.write.option("compression", compression)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

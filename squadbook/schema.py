@@ -76,11 +76,6 @@ CORE_COLUMNS = (
 
 SORT_COLUMNS = "year gender player_id club_name short_name".split()
 
-# How many results of one search term are used.
-RESULTS_PER_TERM = 25
-MAX_RESULTS_PER_TERM = 50
-DEFAULT_COMMENT_LIMIT = 500
-
 SEARCH_PAGE_SCHEMA = "items array<struct<id: struct<videoId: string>>>"
 
 COMMENT_PAGE_SCHEMA = (

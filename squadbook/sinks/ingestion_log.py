@@ -13,6 +13,8 @@ from ..sources.rosters import SeasonFile
 
 # Payload columns of a log record, none of them NULL.
 LOG_SCHEMA = "row_count bigint, years array<int>, source_files string, checksum string"
+# Rows that were left out for want of a player id; NULL where nobody counted them.
+REJECTED = "rejected"
 
 
 def source_files(manifest: Iterable[SeasonFile]) -> str:
@@ -28,6 +30,7 @@ def append_log(
     metrics: Mapping[str, object],
     manifest: Iterable[SeasonFile],
     log_path: str,
+    rejected: int | None = None,
 ) -> None:
     """Append one record of metrics already at hand, such as those of an observed write."""
     row = (
@@ -35,8 +38,9 @@ def append_log(
         [int(year) for year in metrics["years"]],
         source_files(manifest),
         str(metrics["checksum"]),
+        rejected,
     )
-    record = spark.createDataFrame([row], LOG_SCHEMA)
+    record = spark.createDataFrame([row], f"{LOG_SCHEMA}, {REJECTED} bigint")
     _append(record, log_path)
 
 
@@ -46,7 +50,7 @@ def log_ingestion(
     """Measure a roster in one pass and append the record."""
     record = df.agg(*ingestion_metrics(df, year)).select(
         "row_count", "years", F.lit(source_files(manifest)).alias("source_files"), "checksum"
-    )
+    ).withColumn(REJECTED, F.lit(None).cast("bigint"))
     _append(record, log_path)
 
 

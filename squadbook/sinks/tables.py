@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import ingestion_metrics
 from ..operators.align import union_rosters
+from ..runtime import stored
 from ..schema import GENDER, SORT_COLUMNS, YEAR
 
-_OVERWRITE_MODE = {"replace": "static", "replace_seasons": "dynamic"}
+# Over how many tasks, and so files, the rows of one season are spread at most.
+_SALTS = 16
 
 
 def ensure_database(spark: SparkSession, name: str) -> None:
@@ -18,6 +22,19 @@ def ensure_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
 
+def _swapped_in(spark: SparkSession, staged: str, target: str) -> None:
+    """Put a finished folder in the place of another, by renames within their parent."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    new, place = (jvm.org.apache.hadoop.fs.Path(p) for p in (staged, target))
+    store = place.getFileSystem(conf)
+    old = jvm.org.apache.hadoop.fs.Path(f"{staged}.replaced")
+    if store.exists(place) and not store.rename(place, old):
+        raise OSError(f"cannot set {target} aside")
+    if not store.rename(new, place):
+        raise OSError(f"cannot move {staged} to {target}; what it replaces is in {old}")
+    store.delete(old, True)
+
+
 def write_roster(
     df: DataFrame,
     target: str,
@@ -26,44 +43,58 @@ def write_roster(
     sort_by: Sequence[str] = SORT_COLUMNS,
     observation: Observation | None = None,
 ) -> None:
-    """Write a Parquet roster sorted by ``sort_by`` in folders by ``partition_by``.
+    """Write a Parquet roster, sorted by ``sort_by`` within files, in folders by ``partition_by``.
 
     ``target`` is a path (it holds a ``/``) or a table name; an existing table keeps its
     definition. ``replace`` swaps all rows, ``replace_seasons`` only the seasons in
     ``df`` (staged, then moved in), ``append`` adds.
 
-    Rows are spread by ranges of all sort columns, not by season alone: a season with a
-    third of all rows is written by many tasks, and few tasks meet in one folder.
-    ``observation`` receives the ingestion metrics from the same pass; it sits behind
-    the last shuffle, where no finished task is run again.
+    ``replace`` writes all rows first, to a folder beside a path or in scratch space for a
+    table; while that can fail the old roster stands. Then a path is swapped by two renames
+    (a crash between them leaves the old roster in a folder ``.staged-*.replaced`` beside the
+    target, and the new one in ``.staged-*``), and a table takes the staged files over.
+
+    Rows are spread by season and a hash within it: a season with a third of all rows is
+    written by many tasks, and no folder gets more than ``_SALTS`` files. ``observation``
+    receives the ingestion metrics from the same pass; it sits behind the last shuffle,
+    where no finished task is run again.
     """
-    if mode != "append" and mode not in _OVERWRITE_MODE:
+    if mode not in ("replace", "replace_seasons", "append"):
         raise ValueError(f"unknown mode '{mode}'")
+    spark = df.sparkSession
     keys = [c for c in sort_by if c in df.columns]
     if keys:
-        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        seasons = [c for c in partition_by if c in df.columns]
+        salt = F.pmod(F.xxhash64(*keys), F.lit(_SALTS))
+        df = df.repartition(*seasons, salt).sortWithinPartitions(*keys)
     if observation is not None:
         df = df.observe(observation, *ingestion_metrics(df, YEAR))
 
-    writer = df.write.mode("append" if mode == "append" else "overwrite")
-    if mode in _OVERWRITE_MODE:
-        writer = writer.option("partitionOverwriteMode", _OVERWRITE_MODE[mode])
     if "/" in target:
+        if mode == "replace":
+            folder, _, name = target.rstrip("/").rpartition("/")
+            staged = f"{folder}/.staged-{name}-{uuid.uuid4().hex}"
+            df.write.partitionBy(*partition_by).parquet(staged)
+            _swapped_in(spark, staged, target.rstrip("/"))
+            return
+        writer = df.write.mode("append" if mode == "append" else "overwrite")
+        if mode == "replace_seasons":
+            writer = writer.option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(*partition_by).parquet(target)
-    elif df.sparkSession.catalog.tableExists(target):
-        columns = df.sparkSession.table(target).columns
-        stored = df.select(*columns).write
-        if mode in _OVERWRITE_MODE:
-            stored = stored.option("partitionOverwriteMode", _OVERWRITE_MODE[mode])
-        stored.insertInto(target, overwrite=mode != "append")
+    elif spark.catalog.tableExists(target):
+        rows = df.select(*spark.table(target).columns)
+        if mode != "append":
+            rows = stored(rows, "staged-roster")
+        how = "dynamic" if mode == "replace_seasons" else "static"
+        rows.write.option("partitionOverwriteMode", how).insertInto(target, overwrite=mode != "append")
     else:
-        writer.partitionBy(*partition_by).format("parquet").saveAsTable(target)
+        df.write.partitionBy(*partition_by).format("parquet").saveAsTable(target)
 
 
 def write_roster_chunks(
     frames: Iterable[DataFrame], target: str, mode: str = "replace", **options
 ) -> None:
-    """Write several frames as one roster: all of them or, on an error, none.
+    """Write several frames as one roster: all of them or, on an error while they are computed, none.
 
     Empty input is a ``ValueError`` and anything but a DataFrame a ``TypeError``, both
     before the target is touched.

@@ -1,6 +1,7 @@
 from .comments import (
     extract_comments,
     extract_video_ids,
+    parse_pages,
     read_comments,
     split_corrupt,
 )
@@ -26,6 +27,7 @@ __all__ = [
     "jdbc_options",
     "manifest_frame",
     "parse_manifest",
+    "parse_pages",
     "read_comments",
     "read_manifest",
     "read_roster_csv",

@@ -14,8 +14,6 @@ from ..operators.dedup import dedup_first
 from ..schema import (
     COMMENT_PAGE_SCHEMA,
     COMMENT_SCHEMA,
-    MAX_RESULTS_PER_TERM,
-    RESULTS_PER_TERM,
     SEARCH_PAGE_SCHEMA,
 )
 
@@ -35,26 +33,35 @@ def _parse(page: Column, schema: str) -> Column:
     )
 
 
+def parse_pages(
+    pages: DataFrame, schema: str, page: str = "page", parsed: str = "parsed"
+) -> DataFrame:
+    """The pages with the struct ``parsed`` and whether they are ``broken``, in one frame.
+
+    One broken page never stops the others. A page that is missing counts as broken. The
+    one-row explode keeps the optimizer from parsing a page again for every filter on it.
+    """
+    read = pages.withColumn(parsed, F.explode(F.array(_parse(F.col(page), schema))))
+    broken = F.col(parsed).isNull() | F.col(f"{parsed}.{_CORRUPT}").isNotNull()
+    return read.withColumn("broken", broken).withColumn(parsed, F.col(parsed).dropFields(_CORRUPT))
+
+
 def split_corrupt(
     pages: DataFrame, schema: str, page: str = "page", parsed: str = "parsed"
 ) -> tuple[DataFrame, DataFrame]:
     """Pages that parse, with the struct ``parsed``, and the broken ones to set aside.
 
-    One broken page never stops the others. A page that is missing counts as broken.
+    Reading both frames parses twice; ``parse_pages`` gives one frame with a flag.
     """
-    read = pages.withColumn(parsed, _parse(F.col(page), schema))
-    broken = F.col(parsed).isNull() | F.col(f"{parsed}.{_CORRUPT}").isNotNull()
-    good = read.where(~broken).withColumn(parsed, F.col(parsed).dropFields(_CORRUPT))
-    return good, read.where(broken).drop(parsed)
+    read = parse_pages(pages, schema, page, parsed)
+    return read.where(~F.col("broken")).drop("broken"), read.where("broken").drop(parsed, "broken")
 
 
-def extract_video_ids(
-    search_pages: DataFrame, per_term: int | None = RESULTS_PER_TERM
-) -> DataFrame:
+def extract_video_ids(search_pages: DataFrame, per_term: int | None = None) -> DataFrame:
     """``video_id, term_no, page_no, pos``: each video at its first place in the walk.
 
-    Of every term the first ``per_term`` results count, at most 50 as the service
-    allows; ``None`` takes all that were landed. Results without an id are skipped.
+    All results that were landed count, or with ``per_term`` the first ones of every term.
+    Results without an id are skipped.
     """
     good, _ = split_corrupt(search_pages, SEARCH_PAGE_SCHEMA)
     items = good.select("term_no", "page_no", F.posexplode("parsed.items").alias("pos", "item"))
@@ -62,7 +69,7 @@ def extract_video_ids(
         in_term = Window.partitionBy("term_no").orderBy("page_no", "pos")
         items = (
             items.withColumn("__nth", F.row_number().over(in_term))
-            .where(F.col("__nth") <= min(per_term, MAX_RESULTS_PER_TERM))
+            .where(F.col("__nth") <= per_term)
             .drop("__nth")
         )
     ids = items.select(F.col("item.id.videoId").alias("video_id"), "term_no", "page_no", "pos")

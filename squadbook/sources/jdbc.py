@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from urllib.parse import parse_qsl, unquote, urlsplit
+from urllib.parse import parse_qsl, quote, unquote, urlencode, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,15 +27,15 @@ def jdbc_options(url: str, schema: str | None = None) -> dict[str, str]:
     if not database:
         raise ValueError("the connection URL names no database")
     parameters = DEFAULT_PARAMETERS | dict(parse_qsl(parts.query, keep_blank_values=True))
-    query = "&".join(f"{name}={value}" for name, value in parameters.items())
-    address = f"{parts.hostname or DEFAULT_HOST}:{parts.port or DEFAULT_PORT}"
+    host = parts.hostname or DEFAULT_HOST
+    address = f"{f'[{host}]' if ':' in host else host}:{parts.port or DEFAULT_PORT}"
     optional = {
         "currentSchema": schema,
         "user": unquote(parts.username or ""),
         "password": unquote(parts.password or ""),
     }
     return {
-        "url": f"jdbc:{BACKEND}://{address}/{database}?{query}",
+        "url": f"jdbc:{BACKEND}://{address}/{database}?{urlencode(parameters, quote_via=quote)}",
         "driver": DRIVER,
         **{name: value for name, value in optional.items() if value},
     }

@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import astuple, dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schema import EXPECTED_SEASONS
 
 EXPECTED_SCHEMA = "group string, year int"
 MANIFEST_SCHEMA = "group string, year int, path string"
 
+# Columns that name the season a raw row comes from.
+GROUP, SEASON = "__group", "__season"
+
+_FILE = "__file"
 _HEADER_READS = 8
 
 
@@ -63,30 +69,81 @@ def check_manifest(expected: DataFrame, manifest: DataFrame) -> DataFrame:
     return expected.join(manifest.select(season).distinct(), season, "left_anti")
 
 
+def _headers(spark: SparkSession, entry: SeasonFile) -> list[tuple[str, tuple[str, ...]]]:
+    """The CSV files of an entry, each with its header; only first lines are read."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    pattern = jvm.org.apache.hadoop.fs.Path(entry.path)
+    store = pattern.getFileSystem(conf)
+    found = []
+    for status in store.globStatus(pattern) or ():
+        inside = store.listStatus(status.getPath()) if status.isDirectory() else [status]
+        found += [s.getPath() for s in inside if s.isFile() and s.getPath().getName()[0] not in "_."]
+    if not found:
+        raise FileNotFoundError(entry.path)
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    files = []
+    for path in found:
+        stream = store.open(path)
+        try:
+            codec = codecs.getCodec(path)
+            plain = codec.createInputStream(stream) if codec is not None else stream
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8"))
+            line = reader.readLine()
+        finally:
+            stream.close()
+        if line is not None:
+            cells = next(csv.reader([line.removeprefix("\ufeff")]), [])
+            header = tuple(cell or f"_c{i}" for i, cell in enumerate(cells))
+            files.append((path.toUri().toString(), header))
+    return files
+
+
 def read_manifest(
     spark: SparkSession,
     manifest: Iterable[SeasonFile],
     expected: Mapping[str, Sequence[int]] = EXPECTED_SEASONS,
     infer: bool = False,
-) -> list[tuple[SeasonFile, DataFrame]]:
-    """Every expected season with its raw rows; entries beyond the expected are not read.
-
-    A missing season raises ``ManifestError`` before any file is touched, a missing
-    file ``FileNotFoundError``. Headers are looked up several files at a time.
+) -> list[DataFrame]:
+    """The raw rows of all seasons, one frame per distinct header, with ``GROUP`` and ``SEASON``.
+
+    All seasons of the manifest are read, also those beyond the expected. A missing season
+    raises ``ManifestError`` before any file is touched, a missing file ``FileNotFoundError``.
+    First lines are looked up several files at a time; files with one header are one scan,
+    however many there are, and a row's season comes from the file it is in. Columns go by
+    name, so files of one folder may differ in their order; cells stay strings unless
+    ``infer`` asks for a pass to type them.
     """
     by_season = {(e.group, e.year): e for e in manifest}
     wanted = [(group, year) for group, years in expected.items() for year in years]
     gaps = [season for season in wanted if season not in by_season]
     if gaps:
         raise ManifestError(f"manifest has no entry for {gaps}")
+    entries = list(by_season.values())
+    with ThreadPoolExecutor(_HEADER_READS) as pool:
+        listed = list(pool.map(lambda e: _headers(spark, e), entries))
+    by_header: dict[tuple[str, ...], list[tuple[str, str, int]]] = {}
+    for entry, files in zip(entries, listed):
+        for path, header in files:
+            by_header.setdefault(header, []).append((path, entry.group, entry.year))
+    return [_read_files(spark, header, files, infer) for header, files in by_header.items()]
 
-    def read(entry: SeasonFile) -> tuple[SeasonFile, DataFrame]:
-        try:
-            return entry, read_roster_csv(spark, entry.path, infer)
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                raise FileNotFoundError(entry.path) from error
-            raise
 
-    with ThreadPoolExecutor(_HEADER_READS) as pool:
-        return list(pool.map(read, [by_season[season] for season in wanted]))
+def _read_files(
+    spark: SparkSession, header: tuple[str, ...], files: list[tuple[str, str, int]], infer: bool
+) -> DataFrame:
+    paths = [path for path, _, _ in files]
+    if infer:
+        rows = spark.read.csv(paths, header=True, inferSchema=True, enforceSchema=False)
+    else:
+        text = StructType([StructField(name, StringType()) for name in header])
+        rows = spark.read.schema(text).csv(paths, header=True, enforceSchema=False)
+    rows = rows.select("*", _plain_path(F.col("_metadata.file_path")).alias(_FILE))
+    seasons = spark.createDataFrame(files, f"{_FILE} string, {GROUP} string, {SEASON} int")
+    seasons = seasons.withColumn(_FILE, _plain_path(F.col(_FILE)))
+    # One row for each file of the manifest, which the driver has listed.
+    return rows.join(F.broadcast(seasons), _FILE).drop(_FILE)
+
+
+def _plain_path(path: Column) -> Column:
+    """Paths of one file may differ in how many slashes follow their scheme."""
+    return F.regexp_replace(path, "^([a-z0-9+.-]+:)/+", "$1/")

@@ -4,6 +4,7 @@ from .comments import (
     stream_dedup,
     stream_mentions,
     stream_take,
+    write_first,
 )
 
 __all__ = [
@@ -12,4 +13,5 @@ __all__ = [
     "stream_dedup",
     "stream_mentions",
     "stream_take",
+    "write_first",
 ]

@@ -8,6 +8,7 @@ the keys.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,10 +19,10 @@ from ..operators.mentions import (
     BROADCAST_BYTES,
     CANONICAL,
     MENTIONS,
+    AliasTable,
     count_mentions,
-    profile_aliases,
+    prepare_aliases,
 )
-from ..runtime import stored
 from ..schema import COMMENT_SCHEMA
 
 _BATCH = "batch_id"
@@ -47,31 +48,33 @@ def read_comment_stream(
 
 def stream_mentions(
     stream: DataFrame,
-    aliases: DataFrame,
+    aliases: DataFrame | AliasTable,
     counts_path: str,
     checkpoint: str,
     dump_path: str | None = None,
-    key: Sequence[str] = ("comment_id",),
+    key: Sequence[str] | None = None,
     text: str = "text",
     broadcast_bytes: int = BROADCAST_BYTES,
     trigger: dict | None = None,
+    boundary: str = "word",
 ) -> StreamingQuery:
     """Count each micro-batch on its own and write its counts, and its comments if asked.
 
     A batch is counted like a table by ``count_mentions``, whatever the size of the alias
-    table; ``key`` tells the comments of a batch apart. Both outputs go to folders named
+    table. Every row is a comment, as in the batch count; with ``key`` rows with equal values
+    are one comment within a batch, but not across batches. Both outputs go to folders named
     by batch, so a repeated batch replaces what it wrote before. ``read_mention_totals``
-    adds the batches up.
+    adds the batches up. With a dump the comments are counted from it: a batch is read once.
     """
     # Stored once: every micro-batch reads the table again.
-    aliases = stored(aliases, "aliases")
-    profile = profile_aliases(aliases)
+    table = aliases if isinstance(aliases, AliasTable) else prepare_aliases(aliases, boundary)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if dump_path is not None:
-            dump = batch.write.mode("overwrite").option("ignoreNullFields", "false")
-            dump.json(f"{dump_path}/{_BATCH}={batch_id}")
-        counts = count_mentions(batch, aliases, key, text, broadcast_bytes, profile)
+            dumped = f"{dump_path}/{_BATCH}={batch_id}"
+            batch.write.mode("overwrite").option("ignoreNullFields", "false").json(dumped)
+            batch = batch.sparkSession.read.schema(batch.schema).json(dumped)
+        counts = count_mentions(batch, table, key, text, broadcast_bytes)
         counts.write.mode("overwrite").parquet(f"{counts_path}/{_BATCH}={batch_id}")
 
     writer = stream.writeStream.foreachBatch(write)
@@ -102,5 +105,43 @@ def stream_dedup(
 
 
 def stream_take(stream: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` rows to arrive; for append and complete output."""
+    """The first ``n`` rows to arrive; for append and complete output.
+
+    The query itself runs on after them; ``write_first`` stops it.
+    """
     return stream.limit(n)
+
+
+def write_first(stream: DataFrame, n: int, path: str, checkpoint: str, trigger: dict | None = None) -> int:
+    """Write the first ``n`` rows to arrive as Parquet, and stop reading; returns their number.
+
+    A row for each micro-batch is counted as it is written, under its number, so a repeated
+    batch replaces its rows and the count is right after a restart.
+    """
+    spark = stream.sparkSession
+    full = Event()
+
+    def written() -> dict[int, int]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+            return {}
+        rows = spark.read.parquet(path).groupBy(_BATCH).count().collect()
+        return {r[_BATCH]: r["count"] for r in rows}
+
+    counts = written()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        missing = n - sum(c for k, c in counts.items() if k != batch_id)
+        if missing > 0:
+            folder = f"{path}/{_BATCH}={batch_id}"
+            batch.limit(missing).write.mode("overwrite").parquet(folder)
+            counts[batch_id] = spark.read.parquet(folder).count()
+        if sum(counts.values()) >= n:
+            full.set()
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    query = writer.trigger(**(trigger or AVAILABLE_NOW)).start()
+    while not query.awaitTermination(0.05):
+        if full.is_set():
+            query.stop()
+    return sum(counts.values())

@@ -11,9 +11,10 @@ from squadbook.operators import (
     count_mentions,
     match_mentions,
     mention_summary,
-    profile_aliases,
+    prepare_aliases,
     top_mention,
 )
+from squadbook.operators import mentions
 from squadbook.operators.mentions import BROADCAST_BYTES
 
 ROSTER = [
@@ -87,11 +88,12 @@ def test_count_mentions(comments, aliases, limit):
     assert got == {"L. Messi": 3, "Mbappé": 1, "Neymar Jr.": 1, "A. Twin": 1, "Padded": 1}
 
 
-def expected_matches(texts, names):
-    """Every name tried on every text with Python's own word boundaries."""
+def expected_matches(texts, names, boundary="word"):
+    """Every name tried on every text with Python's own word boundaries, or look-arounds."""
     found = set()
     for alias, canonical in names.items():
-        pattern = re.compile(rf"\b{re.escape(alias)}\b")
+        edges = (r"\b", r"\b") if boundary == "word" else (r"(?<!\w)", r"(?!\w)")
+        pattern = re.compile(edges[0] + re.escape(alias) + edges[1])
         for key, text in texts:
             if pattern.search(text.lower()):
                 found.add((key, alias, canonical))
@@ -100,7 +102,10 @@ def expected_matches(texts, names):
 
 @pytest.mark.parametrize("limit", [BROADCAST_BYTES, 0])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_matches_equal_brute_force(spark, seed, limit):
+@pytest.mark.parametrize("boundary", ["word", "loose"])
+def test_matches_equal_brute_force(spark, seed, limit, boundary, monkeypatch):
+    # Runs so short that many aliases are longer.
+    monkeypatch.setattr(mentions, "MAX_RUN", 2 if seed == 2 else 8)
     rng = random.Random(seed)
     letters = ["a", "b", "É", "_", "1", ".", " ", "-", "\n", "'", "½", "́"]
     texts = [(i, "".join(rng.choices(letters, k=rng.randrange(0, 30)))) for i in range(200)]
@@ -109,8 +114,9 @@ def test_matches_equal_brute_force(spark, seed, limit):
     comments = spark.createDataFrame(texts, "comment_id int, text string")
     aliases = spark.createDataFrame(list(names.items()), "alias string, canonical string")
 
-    wanted = expected_matches(texts, names)
+    wanted = expected_matches(texts, names, boundary)
     assert len(wanted) > 100
+    aliases = prepare_aliases(aliases, boundary)
     found = match_mentions(comments, aliases, broadcast_bytes=limit)
     got = [tuple(r) for r in found.collect()]
     assert len(got) == len(set(got)) and set(got) == wanted
@@ -125,6 +131,36 @@ def test_long_aliases_are_found_whole(spark):
     assert counts(count_mentions(comments, aliases)) == {"All": 1, "One": 2}
 
 
+def test_an_alias_of_thousands_of_words(spark):
+    words = [f"w{i}" for i in range(2000)]
+    texts = [" ".join(["x", *words, "y"]), " ".join(words[:-1]), " ".join(words[:-1]) + " w1999s", " ".join(words)]
+    comments = spark.createDataFrame(list(enumerate(texts)), "comment_id int, text string")
+    aliases = spark.createDataFrame([(" ".join(words), "All"), ("w7", "One")], "alias string, canonical string")
+    for limit in (BROADCAST_BYTES, 0):
+        assert counts(count_mentions(comments, aliases, broadcast_bytes=limit)) == {"All": 2, "One": 4}
+
+
+def test_loose_boundary(spark):
+    texts = ["neymar jr. is great", "neymar jr.x", "xneymar jr.", "(neymar jr.)", "neymar jr..", "neymar jr"]
+    comments = spark.createDataFrame(list(enumerate(texts)), "comment_id int, text string")
+    aliases = spark.createDataFrame([("neymar jr.", "N")], "alias string, canonical string")
+    for limit in (BROADCAST_BYTES, 0):
+        assert counts(count_mentions(comments, aliases, broadcast_bytes=limit)) == {"N": 1}
+        assert counts(count_mentions(comments, aliases, broadcast_bytes=limit, boundary="loose")) == {"N": 3}
+    with pytest.raises(ValueError):
+        prepare_aliases(aliases, "tight")
+
+
+def test_every_row_is_a_comment(spark):
+    rows = [("", "messi"), ("", "messi and messi"), (None, "Messi!"), ("1", "messi"), ("1", "messi")]
+    comments = spark.createDataFrame(rows, "comment_id string, text string")
+    aliases = spark.createDataFrame([("messi", "M")], "alias string, canonical string")
+    for limit in (BROADCAST_BYTES, 0):
+        assert counts(count_mentions(comments, aliases, broadcast_bytes=limit)) == {"M": 5}
+        assert counts(count_mentions(comments, aliases, ["comment_id"], broadcast_bytes=limit)) == {"M": 3}
+    assert match_mentions(comments, aliases, None).count() == 5
+
+
 def test_hot_word_and_mixed_case_aliases(spark):
     comments = spark.range(3000).select(
         F.col("id").alias("comment_id"),
@@ -138,10 +174,10 @@ def test_hot_word_and_mixed_case_aliases(spark):
 def test_large_alias_tables_meet_the_texts_in_a_shuffle(spark, comments, aliases, shuffled_joins):
     counted = count_mentions(comments, aliases, broadcast_bytes=0)
     matched = match_mentions(comments, aliases, broadcast_bytes=0)
-    for df, broadcasts in ((counted, 1), (matched, 1)):
+    for df, broadcasts in ((counted, 2), (matched, 2)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
-        assert plan.count("BroadcastExchange") == broadcasts  # the bitmap
+        assert plan.count("BroadcastExchange") == broadcasts  # the bitmaps
     assert counts(counted) == counts(count_mentions(comments, aliases))
     assert sorted(map(tuple, matched.collect())) == sorted(
         map(tuple, match_mentions(comments, aliases).collect())
@@ -150,7 +186,7 @@ def test_large_alias_tables_meet_the_texts_in_a_shuffle(spark, comments, aliases
 
 def test_no_aliases(spark, comments, aliases):
     none = aliases.where(F.lit(False))
-    assert profile_aliases(none).shapes == ()
+    assert prepare_aliases(none).shapes == ()
     assert count_mentions(comments, none).count() == 0
     assert match_mentions(comments, none, broadcast_bytes=0).count() == 0
 

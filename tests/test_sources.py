@@ -19,6 +19,7 @@ from squadbook.sources import (
     read_roster_csv,
     split_corrupt,
 )
+from squadbook.sources.rosters import GROUP, SEASON
 
 
 def full_manifest(base):
@@ -55,11 +56,12 @@ def test_read_manifest_errors(spark, tmp_path):
         read_manifest(spark, manifest)
 
 
-def test_read_manifest_reads_the_expected_only(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("id\n1\n")
-    manifest = [SeasonFile("m", 1, str(tmp_path / "a.csv")), SeasonFile("m", 2, "/none.csv")]
-    [(entry, df)] = read_manifest(spark, manifest, {"m": [1]})
-    assert entry.year == 1 and df.count() == 1
+def test_read_manifest_reads_seasons_beyond_the_expected(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.csv").write_text("id\n1\n")
+    manifest = [SeasonFile("m", 1, str(tmp_path / "a.csv")), SeasonFile("m", 2, str(tmp_path / "b.csv"))]
+    [df] = read_manifest(spark, manifest, {"m": [1]})
+    assert {(r[GROUP], r[SEASON], r.id) for r in df.collect()} == {("m", 1, "1"), ("m", 2, "1")}
 
 
 def test_jdbc_options():
@@ -70,6 +72,8 @@ def test_jdbc_options():
         "user": "u",
         "password": "p@s",
     }
+    coded = jdbc_options("postgresql://[::1]/db?options=a%26b%20c")
+    assert coded["url"] == "jdbc:postgresql://[::1]:5432/db?stringtype=unspecified&options=a%26b%20c"
     plain = jdbc_options("postgresql:///db?stringtype=varchar")
     assert plain["url"] == "jdbc:postgresql://localhost:5432/db?stringtype=varchar"
     assert "user" not in plain and "password" not in plain
@@ -101,7 +105,10 @@ def test_extract_video_ids(spark):
     capped = extract_video_ids(pages, per_term=3).orderBy("term_no", "pos")
     assert [r[0] for r in capped.collect()] == ["c", "b", "a"]
     many = spark.createDataFrame([(0, 0, search_page(*map(str, range(1, 100))))], "term_no int, page_no int, page string")
-    assert extract_video_ids(many, per_term=80).count() == 50
+    assert extract_video_ids(many, per_term=80).count() == 80
+    assert extract_video_ids(many).count() == 99
+    for parsed in (extract_video_ids(many), extract_comments(many.select(F.lit("v").alias("video_id"), F.lit(0).alias("video_ord"), "page_no", "page"))):
+        assert parsed._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
 
 
 def comment_page(*items):

@@ -9,6 +9,7 @@ from squadbook.streaming import (
     stream_dedup,
     stream_mentions,
     stream_take,
+    write_first,
 )
 
 TEXTS = ["messi messi", "Messi and Neymar", "nobody", "neymar!", "messis", "x. messi", ""]
@@ -66,6 +67,16 @@ def test_a_repeated_batch_replaces_its_output(spark, tmp_path, path):
     assert dumped.count() == len(TEXTS)
 
 
+def test_a_repeated_id_counts_as_in_a_batch(spark, tmp_path, path):
+    land(tmp_path / "landing", 0, ["messi"])
+    (tmp_path / "landing" / "again.json").write_text((tmp_path / "landing" / "0.json").read_text())
+    stream = read_comment_stream(spark, str(tmp_path / "landing"), max_files=1)
+    stream_mentions(stream, aliases(spark), f"{path}/counts", f"{path}/checkpoint").awaitTermination()
+    batch = spark.read.schema("comment_id string, text string").json(str(tmp_path / "landing"))
+    got = totals(read_mention_totals(spark, f"{path}/counts"))
+    assert got == totals(count_mentions(batch, aliases(spark))) == {"M": 2}
+
+
 def append(stream, path):
     writer = stream.writeStream.format("parquet").option("checkpointLocation", f"{path}/checkpoint")
     writer.outputMode("append").trigger(availableNow=True).start(f"{path}/out").awaitTermination()
@@ -86,3 +97,13 @@ def test_stream_take(spark, tmp_path, path):
     land(tmp_path / "landing", 0, TEXTS)
     stream = read_comment_stream(spark, str(tmp_path / "landing"), max_files=2)
     assert append(stream_take(stream, 3), path).agg(F.count("*")).first()[0] == 3
+
+
+def test_write_first_stops(spark, tmp_path, path):
+    land(tmp_path / "landing", 0, [f"t{i}" for i in range(30)])
+    for _ in range(2):  # a restart finds what is written
+        stream = read_comment_stream(spark, str(tmp_path / "landing"), max_files=1)
+        assert write_first(stream, 3, f"{path}/rows", f"{path}/checkpoint") == 3
+    assert spark.read.parquet(f"{path}/rows").select("text").distinct().count() == 3
+    stream = read_comment_stream(spark, str(tmp_path / "landing"))
+    assert write_first(stream, 100, f"{path}/all", f"{path}/checkpoint2") == 30
