@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from squadbook.llm.decontaminate import contaminated
+from squadbook.llm.decontaminate import _MARKS, NAME, NUMBER, UNIT, UNITS, contaminated
 from squadbook.llm.language import identify_languages
 from squadbook.llm.licenses import license_scan
 from squadbook.llm.lines import fuzzy_line_dedup
@@ -92,7 +92,121 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _WORD = r"[^\x20\x09-\x0D]"
 
+# As ``decontaminate.template_tokens`` has it.
+_MARKS_SQL = _MARKS.replace("'", "''")
+_UNITS_SQL = ", ".join(f"'{u}'" for u in UNITS)
+_SLOTS_SQL = f"'{NUMBER}', '{UNIT}', '{NAME}', '{NUMBER + UNIT}'"
+
 ORACLES: dict[str, str] = {
+    "op1_suffix_dedup": """
+        WITH d AS (
+            SELECT row_number() OVER () AS row, doc_id, encode(coalesce(text, '')) AS b FROM documents
+        ), p AS (
+            SELECT row, b, unnest(range(1, octet_length(b) - 398)) AS p FROM d WHERE octet_length(b) >= 400
+        ), h AS (
+            SELECT row, p, md5_number(b[p : p + 399]) AS h FROM p
+        ), r AS (
+            SELECT row, p, coalesce(p > lag(p) OVER (PARTITION BY row ORDER BY p) + 400, true) AS first
+            FROM h WHERE h IN (SELECT h FROM h GROUP BY h HAVING count(*) > 1)
+        ), n AS (
+            SELECT row, p, sum(first::INT) OVER (PARTITION BY row ORDER BY p) AS span FROM r
+        ), spans AS (
+            SELECT row, span, min(p) AS lo, max(p) + 400 AS hi FROM n GROUP BY row, span
+        ), gaps AS (
+            SELECT row, coalesce(lag(hi) OVER (PARTITION BY row ORDER BY lo), 1) AS lo, lo AS hi FROM spans
+            UNION ALL SELECT row, max(hi), 1000000000000 FROM spans GROUP BY row
+        ), kept AS (
+            SELECT row, string_agg(hex(b[lo : hi - 1]), '' ORDER BY lo) AS kept
+            FROM gaps JOIN d USING (row) WHERE hi > lo GROUP BY row
+        ), sums AS (
+            SELECT row, CAST(sum(hi - lo) AS BIGINT) AS n_removed, count(*) AS n_spans FROM spans GROUP BY row
+        )
+        SELECT doc_id, octet_length(b) AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+               coalesce(n_spans, 0) AS n_spans,
+               CASE WHEN n_spans IS NULL THEN sha256(b) ELSE sha256(unhex(coalesce(kept, ''))) END
+                   AS kept_sha256
+        FROM d LEFT JOIN sums USING (row) LEFT JOIN kept USING (row)
+    """,
+    "op8_jaccard_join": rf"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}+') AS words
+            FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(words[p : p + 4], ' ') AS shingle
+            FROM (SELECT *, unnest(range(1, greatest(len(words) - 3, 2))) AS p FROM w WHERE len(words) > 0)
+        ), sizes AS (
+            SELECT doc_id, count(shingle) AS n FROM w LEFT JOIN shingles USING (doc_id) GROUP BY doc_id
+        ), shared AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+            FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id
+        ), links AS (
+            SELECT a, b FROM shared JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+            WHERE 100 * c >= 80 * (x.n + y.n - c)
+        ), reached AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents
+            UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+        )
+        SELECT s.doc_id, n AS n_shingles, min(b) AS component_id
+        FROM sizes s JOIN reached ON s.doc_id = a GROUP BY s.doc_id, n
+    """,
+    "op6_decontamination": rf"""
+        WITH source AS (
+            SELECT 'doc' AS side, row_number() OVER () AS row, doc_id AS id, text FROM documents
+            UNION ALL SELECT 'item', row_number() OVER (), item_id, text FROM benchmark
+        ), w AS (
+            SELECT side, row, id, regexp_extract_all(coalesce(text, ''), '{_WORD}+') AS words FROM source
+        ), c AS (
+            SELECT *, list_transform(words, lambda x: lower(trim(x, '{_MARKS_SQL}'))) AS cores FROM w
+        ), t AS (
+            SELECT side, row, id, cores, list_transform(cores, lambda core, i: CASE
+                WHEN ascii(core) BETWEEN 48 AND 57 THEN CASE
+                    WHEN regexp_full_match(core, '[0-9][0-9.,:/-]*') THEN '{NUMBER}'
+                    WHEN regexp_full_match(core, '[0-9][0-9.,]*[a-z%]+') THEN '{NUMBER + UNIT}'
+                    ELSE core END
+                WHEN words[i] >= 'A' AND words[i] < '[' AND words[i][2:2] >= 'a'
+                    AND NOT regexp_matches(words[i - 1], '[.!?:]\W*$') THEN '{NAME}'
+                WHEN ascii(words[i - 1]) BETWEEN 48 AND 57 AND core IN ({_UNITS_SQL}) THEN '{UNIT}'
+                ELSE core END) AS tokens
+            FROM c
+        ), windows AS (
+            SELECT *, array_to_string(tokens[p : p + 7], chr(1)) AS run FROM (
+                SELECT *, unnest(range(1, len(tokens) - 6)) AS p FROM t WHERE len(tokens) >= 8)
+        ), items AS (
+            SELECT * FROM windows WHERE side = 'item' AND len(list_filter(
+                tokens[p : p + 7], lambda x: x NOT IN ({_SLOTS_SQL}))) >= 5
+        ), matched AS (
+            SELECT d.row, d.id AS doc_id, i.row AS item_row, i.id AS item_id, d.p - i.p AS shift,
+                   list_filter(range(0, 8), lambda k: i.tokens[i.p + k] IN ({_SLOTS_SQL})) AS slots,
+                   i.tokens, i.cores AS item_cores, d.cores AS doc_cores, d.p AS doc_at, i.p AS item_at
+            FROM windows d JOIN items i USING (run) WHERE d.side = 'doc'
+        ), fills AS (
+            SELECT row, item_row, shift,
+                   count(DISTINCT (kind, item, doc)) AS n, count(DISTINCT (kind, item)) AS n_item,
+                   count(DISTINCT (kind, doc)) AS n_doc
+            FROM (SELECT row, item_row, shift, tokens[item_at + k] AS kind,
+                         item_cores[item_at + k] AS item, doc_cores[doc_at + k] AS doc
+                  FROM (SELECT *, unnest(slots) AS k FROM matched))
+            GROUP BY ALL
+        ), places AS (
+            SELECT row, doc_id, item_row, item_id, shift, count(*) AS n_windows,
+                   count(*) FILTER (len(slots) = 0) AS plain_windows
+            FROM matched GROUP BY ALL
+        ), sizes AS (SELECT row AS item_row, count(*) AS item_windows FROM items GROUP BY row),
+        judged AS (
+            SELECT row, doc_id, item_row, item_id, item_windows, coalesce(n, 0) AS n_slots,
+                   CASE WHEN n IS NULL OR (n = n_item AND n = n_doc) THEN n_windows
+                        ELSE plain_windows END AS n_windows
+            FROM places LEFT JOIN fills USING (row, item_row, shift) JOIN sizes USING (item_row)
+        ), best AS (
+            SELECT doc_id, item_id, item_windows, max(row(n_windows, n_slots)) AS best FROM judged
+            WHERE n_windows >= item_windows * 0.5
+            GROUP BY row, doc_id, item_row, item_id, item_windows
+        )
+        SELECT doc_id, item_id, item_windows, CAST(best[1] AS BIGINT) AS n_windows,
+               CAST(best[2] AS BIGINT) AS n_slots FROM best
+    """,
     "op5_quality_rules": rf"""
         WITH d AS (
             SELECT row_number() OVER () AS row, doc_id, coalesce(source, '') AS host,
