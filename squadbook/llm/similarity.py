@@ -151,7 +151,8 @@ def _groups(docs: DataFrame, width: int, percent: int, frequent: np.ndarray, buc
 
         def emit() -> pa.RecordBatch:
             members, classes = np.concatenate(parts), np.concatenate(owners)
-            bucket = ((members >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            # Not by the leading bits: prefixes are of members with small hashes.
+            bucket = ((members & np.uint64(0xFFFFFFFF)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
             by = np.argsort(bucket, kind="stable")
             members, classes, bucket = members[by], classes[by], bucket[by]
             used, starts = np.unique(bucket, return_index=True)
@@ -325,10 +326,13 @@ def similar_documents(
         F.col(text).cast("string").alias("text"),
     )
     placed = similar_groups(rows, width=width, percent=percent)
-    least = placed.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
-    own = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least"))
+    # Stored apart, groups of one row left out, so that the join can split a root's many rows.
+    least = placed.where("root is not null").groupBy("root").agg(
+        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")
+    )
+    least = stored(least.where("rows > 1").drop("rows"), "least-ids")
     return placed.join(least, "root", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), own.alias("component_id")
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id")
     )
 
 
