@@ -30,7 +30,7 @@ MARK = 0x2581
 _LITERAL_MARK = 0x110000
 _TABLE_BITS = 20
 # Characters that are worked on at a time; a word or line that is longer stays whole.
-STRETCH = 1 << 21
+STRETCH = 1 << 18
 
 
 def _points(text: str) -> np.ndarray:
@@ -308,7 +308,7 @@ def sample_pieces(
         if check not in _vocabularies:
             _vocabularies[check] = Vocabulary(model)
         vocabulary = _vocabularies[check]
-        for batch in slices(batches, "_text", 4 << 20):
+        for batch in slices(batches, "_text", 1 << 20):
             column = lambda c: batch.column(batch.schema.get_field_index(c))
             texts = column("_text").to_pylist()
             keys = np.asarray(column("_key").to_numpy(zero_copy_only=False)).view(np.uint64)
