@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from squadbook.llm.filters import without_rows
 from squadbook.runtime import stored
 
 WINDOW = 8
@@ -209,4 +210,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     doc_id, text = options.pop("doc_id", "doc_id"), options.pop("text", "text")
     searched = rows.select("row", F.col(f"doc.`{doc_id}`").alias("doc_id"), F.col(f"doc.`{text}`").alias("text"))
     found = contaminated(searched, benchmark, row="row", **options).select("row").distinct()
-    return rows.join(found, "row", "left_anti").select("doc.*")
+    return without_rows(rows, stored(found, "contaminated-rows"), "row").select("doc.*")

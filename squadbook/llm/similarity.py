@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from squadbook.llm.arrays import BETWEEN_SPACES, LOWER, mix, shingle_sets, text_bytes, words
 from squadbook.llm.components import components
+from squadbook.llm.filters import without_rows
 from squadbook.llm.overlap import candidate_links, similar_links, sketch
 from squadbook.llm.tasks import map_batches, slices, sorted_groups
 from squadbook.runtime import stored
@@ -358,4 +359,5 @@ def one_of_each(
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
     stay = placed.where("root is not null").groupBy("root").agg(first).select("first.row")
     stay = stay.union(placed.where("root is null").select("row"))
-    return rows.join(stay, "row", "left_semi").select("doc.*")
+    gone = stored(placed.select("row").join(stay, "row", "left_anti"), "linked-rows")
+    return without_rows(rows, gone, "row").select("doc.*")
