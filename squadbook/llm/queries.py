@@ -29,7 +29,7 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = fuzzy_line_dedup(read(spark, sf_dir, "documents"))
+    kept = fuzzy_line_dedup(read(spark, sf_dir, "documents"), candidates="words")
     return kept.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("kept_md5"))
 
 
