@@ -4,7 +4,7 @@ Built-in functions only. Words become template tokens: numbers, numbers with a u
 behind a number and names inside a sentence turn into typed placeholders, all else is lower
 case without punctuation. Windows of ``WINDOW`` tokens are hashed and joined with those of
 the benchmark. A document that was found to follow an item over enough windows must also
-fill its slots consistently: along the alignment each value of the item stands for one value
+fill its slots consistently: along its alignments each value of the item stands for one value
 in the document and each value in the document for one of the item.
 
 Null and empty texts have no windows, nor have items and documents shorter than a window.
@@ -119,9 +119,10 @@ def contaminated(
 ) -> DataFrame:
     """``row, doc_id, item_id, n_windows, item_windows, n_slots`` of documents and items in them.
 
-    ``row`` is the column of that name, or numbers the rows as they are read. An item is in a document if, along
-    one alignment, at least ``min_cover`` of its windows match and its slots are filled
-    consistently, or if so many windows without slots match.
+    ``row`` is the column of that name, or numbers the rows as they are read. An item is in a document if at
+    least ``min_cover`` of its windows match and its slots are filled consistently, or if so
+    many windows without slots match. An item's distinct windows are added up over all
+    alignments whose fills agree, so that words put in or left out in the middle do not hide it.
 
     The benchmark's windows are stored and counted, and broadcast only within a bound; then
     documents are a scan that ends in the few matches. Beyond, windows of documents are
@@ -153,6 +154,54 @@ def contaminated(
     return _consistent(matched, items, min_cover)
 
 
+def _one_to_one(fills: Column) -> Column:
+    from_item = F.array_distinct(F.transform(fills, lambda f: F.struct(f["kind"], f["item"])))
+    from_doc = F.array_distinct(F.transform(fills, lambda f: F.struct(f["kind"], f["doc"])))
+    return (F.size(from_item) == F.size(fills)) & (F.size(from_doc) == F.size(fills))
+
+
+def _over_shifts(by_place: DataFrame) -> DataFrame:
+    """``row, doc_id, item_row, item_id, n_windows, n_slots``: alignments that agree as one.
+
+    The alignment with most windows comes first; each further one whose fills agree with those
+    taken adds its windows, any other only its windows without slots. If no fills are taken,
+    the first alignment's are counted.
+    """
+    good = F.when(_one_to_one(F.col("fills")), F.size("places")).otherwise(F.size("plain_places"))
+    shift = F.struct((-good).alias("order"), (-F.size("fills")).alias("slots"), "shift", "places", "plain_places", "fills")
+    shifts = by_place.groupBy("row", "doc_id", "item_row", "item_id").agg(
+        F.sort_array(F.collect_list(shift)).alias("shifts")
+    )
+
+    def add(taken: Column, each: Column) -> Column:
+        # The joint fills are a lambda's argument, so they are computed once.
+        joint = F.array(F.array_union(taken["fills"], each["fills"]))
+        agree = F.get(F.transform(joint, _one_to_one), F.lit(0))
+        return F.struct(
+            F.array_union(
+                taken["places"], F.when(agree, each["places"]).otherwise(each["plain_places"])
+            ).alias("places"),
+            F.when(agree, F.get(joint, F.lit(0))).otherwise(taken["fills"]).alias("fills"),
+        )
+
+    none = F.struct(
+        F.slice(F.get("shifts.places", F.lit(0)), 1, 0).alias("places"),
+        F.slice(F.get("shifts.fills", F.lit(0)), 1, 0).alias("fills"),
+    )
+    taken = shifts.withColumn("taken", F.aggregate("shifts", none, add))
+    return taken.select(
+        "row",
+        "doc_id",
+        "item_row",
+        "item_id",
+        F.size("taken.places").cast("bigint").alias("n_windows"),
+        F.when(F.size("taken.fills") > 0, F.size("taken.fills"))
+        .otherwise(-F.get("shifts.slots", F.lit(0)))
+        .cast("bigint")
+        .alias("n_slots"),
+    )
+
+
 def _consistent(matched: DataFrame, items: DataFrame, min_cover: float) -> DataFrame:
     slots = F.array(F.lit(NUMBER), F.lit(UNIT), F.lit(NAME), F.lit(NUMBER + UNIT))
     triples = F.filter(
@@ -176,28 +225,20 @@ def _consistent(matched: DataFrame, items: DataFrame, min_cover: float) -> DataF
             "item_row",
             "item_id",
             (F.col("pos") - F.col("at")).alias("shift"),
+            "at",
             fills.alias("fills"),
         )
         .groupBy(*aligned)
         .agg(
-            F.count(F.lit(1)).alias("n_windows"),
-            F.count_if(F.size("fills") == 0).alias("plain_windows"),
             F.array_distinct(F.flatten(F.collect_set("fills"))).alias("fills"),
+            F.collect_set("at").alias("places"),
+            F.collect_set(F.when(F.size("fills") == 0, F.col("at"))).alias("plain_places"),
         )
     )
-    from_item = F.array_distinct(F.transform("fills", lambda f: F.struct(f["kind"], f["item"])))
-    from_doc = F.array_distinct(F.transform("fills", lambda f: F.struct(f["kind"], f["doc"])))
-    one_to_one = (F.size(from_item) == F.size("fills")) & (F.size(from_doc) == F.size("fills"))
     counts = items.groupBy("item_row").agg(F.count(F.lit(1)).alias("item_windows"))
-    judged = by_place.withColumn("consistent", one_to_one).join(counts, "item_row")
-    good = F.when(F.col("consistent"), F.col("n_windows")).otherwise(F.col("plain_windows"))
-    best = (
-        judged.withColumns({"n_windows": good, "n_slots": F.size("fills").cast("bigint")})
-        .where(F.col("n_windows") >= F.col("item_windows") * min_cover)
-        .groupBy("row", "doc_id", "item_row", "item_id", "item_windows")
-        .agg(F.max(F.struct("n_windows", "n_slots")).alias("best"))
-    )
-    return best.select("row", "doc_id", "item_id", "best.n_windows", "item_windows", "best.n_slots")
+    judged = _over_shifts(by_place).join(counts, "item_row")
+    enough = judged.where(F.col("n_windows") >= F.col("item_windows") * min_cover)
+    return enough.select("row", "doc_id", "item_id", "n_windows", "item_windows", "n_slots")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -76,3 +76,28 @@ def test_kept_rows(spark, awkward, empty):
     assert decontaminate(empty, items).collect() == []
     assert decontaminate(df, benchmark(spark, [])).count() == len(rows)
     assert decontaminate(df, benchmark(spark, [(1, None)])).count() == len(rows)
+
+
+@pytest.mark.parametrize("n", [30, 100])
+def test_a_word_put_in_or_left_out_in_the_middle(spark, bound, n):
+    words = prose(21, n).split(" ")
+    item, half = " ".join(words), n // 2
+    question = (
+        "in the morning our Tom has 3 apples and then Tom buys 5 more apples at the market, "
+        "so how many apples does Tom have now in the red basket at home?"
+    )
+    named = question.replace("Tom", "Ann").replace("3", "14").replace("5", "2")
+    items = benchmark(spark, [(1, item), (2, question)])
+    docs = frame(
+        spark,
+        [
+            (1, " ".join(words[:half] + ["extra"] + words[half:])),
+            (2, " ".join(words[:half] + words[half + 1 :])),
+            (3, " ".join(words[: half // 2])),
+            (4, named.replace("the market", "the big market")),
+            # The two halves give two values to one name.
+            (5, named.replace("the market", "the big market").replace("does Ann", "does Bob")),
+        ],
+    )
+    wanted = {(1, 1), (2, 1), (4, 2)}
+    assert found(docs, items, broadcast_windows=bound) == wanted
