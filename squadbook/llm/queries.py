@@ -14,11 +14,16 @@ from squadbook.llm.lines import fuzzy_line_dedup
 from squadbook.llm.pieces import sample_pieces
 from squadbook.llm.privacy import find_personal_data
 from squadbook.llm.quality import quality_rules
+from squadbook.llm.search import ranked_documents
+from squadbook.llm.sharding import kd_shards
 from squadbook.llm.similarity import similar_documents
+from squadbook.llm.spelling import spelling_variants
 from squadbook.llm.substrings import dedup_substrings
 from squadbook.llm.tokens import read_token_index, write_token_ids
 from squadbook.runtime import scratch_path
 
+SHARDS = 40
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -77,6 +82,18 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_pieces(documents, tokenizer_file("piece_bpe_32k.model"), with_ids=False)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(read(spark, sf_dir, "documents"), spoil_every=199)
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards(read(spark, sf_dir, "documents"), shards=SHARDS)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -88,6 +105,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_license_scan": op9_license_scan,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_sharding": op12_sharding,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 _WORD = r"[^\x20\x09-\x0D]"
