@@ -117,7 +117,129 @@ _MARKS_SQL = _MARKS.replace("'", "''")
 _UNITS_SQL = ", ".join(f"'{u}'" for u in UNITS)
 _SLOTS_SQL = f"'{NUMBER}', '{UNIT}', '{NAME}', '{NUMBER + UNIT}'"
 
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _crc32_sql(blob: str) -> str:
+    """SQL for the CRC-32 of a column of bytes, a byte at a time with the usual table."""
+    table = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ 0xEDB88320 * (value & 1)
+        table.append(value)
+    bytes_ = f"list_transform(range(1, octet_length({blob}) + 1), lambda i: ('0x' || hex({blob}[i : i]))::BIGINT)"
+    step = f"lambda x, y: xor(x >> 8, ({table})[(xor(x, y) & 255) + 1])"
+    return f"xor(list_reduce({bytes_}, {step}, 4294967295::BIGINT), 4294967295)"
+
+
+def _kd_levels(shards: int, dimensions: int = 4) -> str:
+    """SQL that cuts all nodes of a level at once, by sorting them; a row keeps its node's shards."""
+    widths = [f"max(x{d}) OVER w - min(x{d}) OVER w" for d in range(dimensions)]
+    most = f"greatest({', '.join(widths)})"
+    widest = " ".join(f"WHEN {w} = {most} THEN x{d}" for d, w in enumerate(widths))
+    level = """
+        k{i} AS (SELECT *, CASE {widest} END AS x FROM n{i} WINDOW w AS (PARTITION BY node)),
+        s{i} AS (
+            SELECT *, sum(size) OVER (PARTITION BY node ORDER BY x, tie) AS upto,
+                   sum(size) OVER (PARTITION BY node) * (shards // 2) AS wanted FROM k{i}
+        ), c{i} AS (
+            SELECT *, upto * shards < wanted OR ((upto - size) * shards < wanted
+                   AND (2 * upto - size) * shards <= 2 * wanted) AS left_side FROM s{i}
+        ), n{j} AS (
+            SELECT * EXCLUDE (x, upto, wanted, left_side) REPLACE (
+                CASE WHEN left_side THEN node ELSE node + shards // 2 END AS node,
+                CASE WHEN left_side THEN shards // 2 ELSE shards - shards // 2 END AS shards)
+            FROM c{i}
+        ),"""
+    levels = (shards - 1).bit_length()
+    return "".join(level.format(i=i, j=i + 1, widest=widest) for i in range(levels)).replace(
+        f"n{levels} AS", "leaves AS"
+    )
+
+
 ORACLES: dict[str, str] = {
+    "op11_spelling_variants": f"""
+        WITH RECURSIVE runs AS (
+            SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+                   unnest(regexp_extract_all({_LOWERED}, '[a-zÀ-ÿ]{{6,}}')) AS run FROM documents
+        ), hashed AS (
+            SELECT run, c, h, h % length(run) AS hole FROM (
+                SELECT run, c, {_crc32_sql("b")} AS h
+                FROM (SELECT run, encode(id || ':' || run) AS b, count(*) AS c FROM runs GROUP BY ALL))
+        ), spoilt AS (
+            SELECT CASE WHEN h % 199 = 0 THEN left(run, hole) || substr(run, hole + 2) ELSE run END AS word, c FROM hashed
+        ), words AS (
+            SELECT word, CAST(sum(c) AS BIGINT) AS n FROM spoilt WHERE length(word) >= 6
+            GROUP BY word HAVING sum(c) >= 5
+        ), holes AS (
+            SELECT word, n, p, left(word, p - 1) || substr(word, p + 1) AS rest
+            FROM (SELECT *, unnest(range(1, length(word) + 1)) AS p FROM words)
+        ), shorter AS (
+            SELECT DISTINCT h.word, h.n, w.word AS rest, w.n AS rest_n FROM holes h JOIN words w ON h.rest = w.word
+        ), pairs AS (
+            SELECT a.word AS a, b.word AS b, b.n FROM holes a JOIN holes b USING (p, rest) WHERE a.word <> b.word
+            UNION ALL SELECT word, rest, rest_n FROM shorter
+            UNION ALL SELECT rest, word, n FROM shorter
+        ), near AS (
+            SELECT a AS word, count(*) AS n_near, first(b ORDER BY n DESC, b) AS form, max(n) AS form_n
+            FROM pairs GROUP BY a
+        ), forms AS (
+            SELECT word, form, form_n FROM near JOIN words USING (word) WHERE form_n >= 5 * n
+        ), steps AS (
+            SELECT word, word AS root, 0 AS step FROM words
+            UNION ALL SELECT s.word, f.form, step + 1 FROM steps s JOIN forms f ON s.root = f.word
+        ), roots AS (SELECT word, arg_max(root, step) AS root FROM steps GROUP BY word)
+        SELECT w.word, f.form, r.root, w.n, coalesce(n_near, 0) AS n_near, f.form_n
+        FROM words w JOIN roots r USING (word) LEFT JOIN near USING (word)
+        LEFT JOIN forms f ON f.word = w.word
+    """,
+    "op12_sharding": f"""
+        WITH d AS (
+            SELECT doc_id, encode(coalesce(text, '')) AS text, source, lang, CAST(n_chars AS DOUBLE) AS a,
+                   CAST(doc_id AS DOUBLE) AS b FROM documents
+        ), n0 AS (
+            SELECT doc_id, octet_length(text) + 16 AS size, {_crc32_sql("text")} AS text_crc32,
+                   coalesce(('0x' || md5(source)[1 : 5])::BIGINT, 0) AS x0,
+                   coalesce(('0x' || md5(lang)[1 : 5])::BIGINT, 0) AS x1,
+                   coalesce(floor((a - min(a) OVER ()) / (max(a) OVER () - min(a) OVER ()) * 1048575.0), 0) AS x2,
+                   coalesce(floor((b - min(b) OVER ()) / (max(b) OVER () - min(b) OVER ()) * 1048575.0), 0) AS x3,
+                   ('0x' || md5(coalesce(CAST(doc_id AS VARCHAR), ''))[1 : 7])::BIGINT >> 1 AS tie,
+                   0 AS node, {SHARDS} AS shards
+            FROM d
+        ), {_kd_levels(SHARDS)}
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY node ORDER BY tie, doc_id) - 1 AS slot FROM leaves
+        )
+        SELECT doc_id, size, text_crc32, 'bytes' AS law, CAST(node AS INTEGER) AS shard, slot,
+               CAST(NULL AS INTEGER) AS grown_shard
+        FROM placed
+    """,
+    "op13_ranked_search": rf"""
+        WITH source AS (
+            SELECT 'doc' AS side, row_number() OVER () AS row, doc_id AS id, text FROM documents
+            UNION ALL SELECT 'item', row_number() OVER (), item_id, text FROM benchmark
+        ), t AS (
+            SELECT side, row, id, unnest(regexp_extract_all({_LOWERED},
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM source
+        ), counts AS (SELECT side, row, id, term, count(*) AS tf FROM t GROUP BY ALL),
+        sizes AS (SELECT row, CAST(sum(tf) AS BIGINT) AS n FROM counts WHERE side = 'doc' GROUP BY row),
+        totals AS (SELECT count(*) AS all_n, CAST(sum(n) AS BIGINT) AS all_l FROM sizes),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * all_n + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM counts, totals WHERE side = 'doc' GROUP BY term, all_n
+        ), lengths AS (SELECT row, 10 + (90 * n * all_n) // all_l AS m FROM sizes, totals),
+        scores AS (
+            SELECT i.row, i.id AS item_id, d.row AS doc_row, d.id AS doc_id,
+                   CAST(sum(w * ((1000000000 * d.tf) // (1000 * d.tf + 8 * m))) AS BIGINT) AS score
+            FROM counts i JOIN counts d USING (term) JOIN weights USING (term) JOIN lengths l ON d.row = l.row
+            WHERE i.side = 'item' AND d.side = 'doc' GROUP BY ALL
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY row ORDER BY score DESC, doc_id NULLS LAST)
+                           AS INTEGER) AS rank
+            FROM scores WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+    """,
     "op1_suffix_dedup": """
         WITH d AS (
             SELECT row_number() OVER () AS row, doc_id, encode(coalesce(text, '')) AS b FROM documents
