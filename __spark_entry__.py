@@ -135,6 +135,19 @@ def _video_ids(cut: str) -> str:
     """
 
 
+_COMMENTS = """
+    WITH t AS (SELECT *, string_split(text, chr(10)) AS lines FROM conversations),
+    items AS (
+        SELECT conv_id, turn, role, CAST(unnest(range(len(lines))) AS INTEGER) AS pos,
+               unnest(lines) AS line FROM t
+    )
+    SELECT CAST(conv_id AS VARCHAR) AS video_id,
+           conv_id || '-' || turn || '-' || pos AS comment_id,
+           CASE WHEN role = 'system' OR role IS NULL THEN 'unknown' ELSE role END AS author,
+           line AS text, conv_id AS video_ord, turn AS page_no, pos
+    FROM items
+"""
+
 _COUNT_SEASONS = """
     SELECT CAST(year(o_orderdate) AS INTEGER) AS year, n_name, count(*) AS n
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
@@ -361,18 +374,7 @@ ORACLES = {
     """,
     "extract_video_ids": _video_ids("nth <= 25"),
     "extract_all_video_ids": _video_ids("TRUE"),
-    "extract_comments": """
-        WITH t AS (SELECT *, string_split(text, chr(10)) AS lines FROM conversations),
-        items AS (
-            SELECT conv_id, turn, role, CAST(unnest(range(len(lines))) AS INTEGER) AS pos,
-                   unnest(lines) AS line FROM t
-        )
-        SELECT CAST(conv_id AS VARCHAR) AS video_id,
-               conv_id || '-' || turn || '-' || pos AS comment_id,
-               CASE WHEN role = 'system' OR role IS NULL THEN 'unknown' ELSE role END AS author,
-               line AS text, conv_id AS video_ord, turn AS page_no, pos
-        FROM items
-    """,
+    "extract_comments": _COMMENTS,
     "split_corrupt": """
         SELECT CAST(conv_id AS VARCHAR) AS video_id, turn AS page_no,
                CASE WHEN role = 'assistant' THEN NULL
@@ -397,22 +399,21 @@ ORACLES = {
         SELECT doc_id FROM documents WHERE regexp_matches(lower(text), '(^|{_N})the\*\*\*({_N}|$)')
     """,
     "match_long_passages": f"""
-        WITH names AS (
-            SELECT lower(text) AS alias, min('Passage ' || item_id) AS canonical,
-                   any_value({_marked("lower(text)")}) AS marked,
-                   any_value(text) AS text FROM benchmark GROUP BY lower(text)
-            UNION ALL
-            SELECT lower('Passage ' || item_id), 'Passage ' || item_id,
-                   {_marked("lower('Passage ' || item_id)")}, '' FROM benchmark
+        WITH passages AS (
+            SELECT 'Passage ' || item_id AS canonical,
+                   array_to_string(regexp_split_to_array(text, '[ \\n]+')[1 : 30], ' ') AS text FROM benchmark
+        ), names AS (
+            SELECT lower(text) AS alias, min(canonical) AS canonical FROM passages GROUP BY lower(text)
+            UNION ALL SELECT lower(canonical), canonical FROM passages
         ), aliases AS (
             SELECT alias, canonical,
-                   CASE WHEN regexp_matches(alias, '^{_W}') THEN '' ELSE chr(1) END || marked ||
+                   CASE WHEN regexp_matches(alias, '^{_W}') THEN '' ELSE chr(1) END || {_marked("alias")} ||
                    CASE WHEN regexp_matches(alias, '{_W}$') THEN '' ELSE chr(1) END AS marked
             FROM names
+        ), texts AS (
+            SELECT doc_id, {_marked("lower(regexp_replace(text, '[ \\n]+', ' ', 'g'))")} AS text FROM documents
         )
-        SELECT doc_id, alias, canonical
-        FROM (SELECT doc_id, {_marked("lower(text)")} AS text FROM documents) t
-        JOIN aliases ON contains(t.text, marked)
+        SELECT doc_id, alias, canonical FROM texts JOIN aliases ON contains(text, marked)
     """,
     "match_mentions": _TURNS + "SELECT conv_id, turn, alias, canonical FROM found",
     "count_mentions": _TURNS + "SELECT * FROM counts",
@@ -432,6 +433,25 @@ ORACLES = {
     "stream_dump": "SELECT * FROM conversations",
     "stream_dedup": "SELECT DISTINCT user_id, event_type FROM events",
     "stream_take": "SELECT least(count(*), 1000) AS n_events, least(count(*), 1000) AS n_distinct, least(count(*), 1000) AS n_known FROM events",
+    "running_mentions": _TURNS + "SELECT * FROM counts",
+    "compacted_mentions": _TURNS + "SELECT * FROM counts",
+    "stream_dedup_within": "SELECT DISTINCT user_id, event_type, date_trunc('day', ts)::TIMESTAMP AS day FROM events",
+    "stream_quarantine": """
+        SELECT CAST(conv_id AS VARCHAR) AS video_id, turn AS page_no,
+               CASE WHEN role IS DISTINCT FROM 'assistant'
+                    THEN CAST(len(string_split(text, chr(10))) AS INTEGER) END AS items,
+               coalesce(role = 'assistant', false) AS broken
+        FROM conversations
+    """,
+    "stream_video_ids": _video_ids("TRUE"),
+    "stream_comments": _COMMENTS,
+    "stream_log": """
+        SELECT count(*) AS row_count,
+               string_agg(DISTINCT CAST(year AS VARCHAR), ',' ORDER BY CAST(year AS VARCHAR)) AS years,
+               CAST(sum(CAST('0x' || substr(md5(concat_ws(chr(1), o_orderkey, o_custkey, year)), 1, 8)
+                   AS BIGINT)) AS VARCHAR) AS checksum
+        FROM (SELECT *, year(o_orderdate) AS year FROM orders)
+    """,
 }
 
 

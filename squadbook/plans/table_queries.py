@@ -443,15 +443,18 @@ def extract_comments(spark, sf):
     return sources.extract_comments(_comment_pages(spark, sf))
 
 
-def split_corrupt(spark, sf):
-    # Comment pages of assistant turns lose their last character.
+def _damaged_pages(spark, sf) -> DataFrame:
+    """Comment pages, of which those of assistant turns lose their last character."""
     cut_off = F.col("author").eqNullSafe("assistant")
     pages = _comment_pages(spark, sf).withColumn(
         "author", F.get_json_object("page", "$.items[0].snippet.topLevelComment.snippet.authorDisplayName")
     )
     shortened = F.expr("substring(page, 1, length(page) - 1)")
-    damaged = pages.withColumn("page", F.when(cut_off, shortened).otherwise(F.col("page")))
-    parsed = sources.parse_pages(damaged, COMMENT_PAGE_SCHEMA)
+    return pages.withColumn("page", F.when(cut_off, shortened).otherwise(F.col("page"))).drop("author")
+
+
+def split_corrupt(spark, sf):
+    parsed = sources.parse_pages(_damaged_pages(spark, sf), COMMENT_PAGE_SCHEMA)
     items = F.when(~F.col("broken"), F.size("parsed.items")).alias("items")
     return parsed.select("video_id", "page_no", items)
 
@@ -521,11 +524,17 @@ def count_document_mentions_unbroadcast(spark, sf):
 
 
 def match_long_passages(spark, sf):
-    """Whole passages as names, of many more segments than a run has."""
+    """The first 30 words of passages as names: many more segments than a run has."""
+    words = F.split("text", r"[ \n]+", 31)
     passages = _table(spark, sf, "benchmark").select(
-        F.concat_ws(" ", F.lit("Passage"), "item_id").alias("short_name"), F.col("text").alias("long_name")
+        F.concat_ws(" ", F.lit("Passage"), "item_id").alias("short_name"),
+        F.array_join(F.slice(words, 1, 30), " ").alias("long_name"),
     )
-    return op.match_mentions(_table(spark, sf, "documents"), op.build_alias_dim(passages), ["doc_id"])
+    documents = _table(spark, sf, "documents")
+    # A text is one line, as passages are.
+    lines = documents.withColumn("text", F.regexp_replace("text", r"[ \n]+", " "))
+    aliases = op.prepare_aliases(op.build_alias_dim(passages), texts=lines)
+    return op.match_mentions(lines, aliases, ["doc_id"])
 
 
 def top_mention(spark, sf):
@@ -584,6 +593,113 @@ def stream_dedup(spark, sf):
     return _appended(unique.select("user_id", "event_type"), "unique")
 
 
+def _landed(rows: DataFrame, label: str, files: int = 4) -> DataFrame:
+    """Rows as a stream of several micro-batches: written to a landing folder, a file at a time read."""
+    spark = rows.sparkSession
+    landing = scratch_path(spark, label)
+    rows.repartition(files).write.parquet(landing)
+    return streaming.read_comment_stream(spark, landing, rows.schema, 1, file_format="parquet")
+
+
+def running_mentions(spark, sf):
+    """Totals as they stand after the last micro-batch, kept in state and folded on the way."""
+    folder = scratch_path(spark, "running")
+    turns = _landed(_table(spark, sf, "conversations").select("text"), "turns")
+    running = streaming.running_mentions(turns, _aliases(spark, sf))
+    keys = ["canonical"]
+    streaming.write_running(
+        running, f"{folder}/totals", f"{folder}/checkpoint", keys, compact_every=3
+    ).awaitTermination()
+    return streaming.read_running(spark, f"{folder}/totals", running.schema, keys)
+
+
+def compacted_mentions(spark, sf):
+    """Counts of batches, of which the older ones are in a snapshot."""
+    folder = scratch_path(spark, "compacted")
+    turns = _landed(_table(spark, sf, "conversations").select("text"), "turns")
+    streaming.stream_mentions(
+        turns, _aliases(spark, sf), f"{folder}/counts", f"{folder}/checkpoint", compact_every=3
+    ).awaitTermination()
+    return streaming.read_mention_totals(spark, f"{folder}/counts")
+
+
+def stream_dedup_within(spark, sf):
+    """The first of each user's events of a kind a day; the days come one after another."""
+    landing = scratch_path(spark, "events")
+    events = _table(spark, sf, "events").select(
+        "user_id", "event_type", F.to_date("ts").alias("day"), F.col("ts").cast("timestamp").alias("arrived_at")
+    )
+    for first in (1, 9, 17, 25):
+        part = events.where(F.day("day").between(first, first + 7))
+        part.write.mode("append").parquet(landing)
+    stream = streaming.read_comment_stream(spark, landing, events.schema, 1, file_format="parquet")
+    unique = streaming.stream_dedup(
+        stream, ["user_id", "event_type", "day"], arrival="arrived_at", within="9 days"
+    )
+    rows = _appended(unique.drop("arrived_at"), "daily")
+    return rows.withColumn("day", F.col("day").cast("timestamp_ntz"))
+
+
+def stream_quarantine(spark, sf):
+    """Pages parsed as they come, the broken ones set aside."""
+    folder = scratch_path(spark, "quarantine")
+    pages = _damaged_pages(spark, sf)
+    query = streaming.stream_split_corrupt(
+        _landed(pages, "pages"), COMMENT_PAGE_SCHEMA, f"{folder}/out", f"{folder}/checkpoint"
+    )
+    query.awaitTermination()
+    place = (spark, f"{folder}/out", pages.schema, COMMENT_PAGE_SCHEMA)
+    good = streaming.read_good_pages(*place).select(
+        "video_id", "page_no", F.size("parsed.items").alias("items"), F.lit(False).alias("broken")
+    )
+    broken = streaming.read_broken_pages(*place).select(
+        "video_id", "page_no", F.lit(None).cast("int").alias("items"), F.lit(True).alias("broken")
+    )
+    return good.union(broken)
+
+
+def _running_rows(running: DataFrame, label: str, keys: list[str]) -> DataFrame:
+    spark = running.sparkSession
+    folder = scratch_path(spark, label)
+    query = streaming.write_running(running, f"{folder}/rows", f"{folder}/checkpoint", keys, compact_every=3)
+    query.awaitTermination()
+    return streaming.read_running(spark, f"{folder}/rows", running.schema, keys)
+
+
+def stream_video_ids(spark, sf):
+    ids = streaming.stream_video_ids(_landed(_search_pages(spark, sf), "search"))
+    return _running_rows(ids, "ids", ["video_id"])
+
+
+def stream_comments(spark, sf):
+    comments = streaming.stream_comments(_landed(_comment_pages(spark, sf), "pages"))
+    return _running_rows(comments, "comments", ["video_id", "comment_id"])
+
+
+def stream_log(spark, sf):
+    """One record for each micro-batch; together they are what a load would log."""
+    folder = scratch_path(spark, "stream-log")
+    orders = _table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("year"))
+    log = streaming.BatchLog(spark, "orders", f"{folder}/log")
+    spark.streams.addListener(log)
+    try:
+        watched = streaming.observed(_landed(orders, "orders"), "orders")
+        writer = watched.writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint")
+        query = writer.trigger(availableNow=True).start(f"{folder}/rows")
+        query.awaitTermination()
+        if not log.wait(query):
+            raise TimeoutError("the log has not come as far as the stream")
+    finally:
+        spark.streams.removeListener(log)
+    records = streaming.read_batch_log(spark, f"{folder}/log")
+    years = F.array_sort(F.array_distinct(F.flatten(F.collect_list("years"))))
+    return records.agg(
+        F.sum("row_count").alias("row_count"),
+        F.array_join(years.cast("array<string>"), ",").alias("years"),
+        F.sum(F.col("checksum").cast("decimal(38,0)")).cast("string").alias("checksum"),
+    )
+
+
 def stream_take(spark, sf):
     folder = scratch_path(spark, "taken")
     events = _stream(spark, sf, "events").select("event_id")
@@ -655,5 +771,12 @@ QUERIES = {
         stream_dump,
         stream_dedup,
         stream_take,
+        running_mentions,
+        compacted_mentions,
+        stream_dedup_within,
+        stream_quarantine,
+        stream_video_ids,
+        stream_comments,
+        stream_log,
     )
 }

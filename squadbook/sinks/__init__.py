@@ -1,3 +1,4 @@
+from .batches import compact, high_water, latest, open_batches, read_batches, write_batch
 from .ingestion_log import append_log, log_ingestion
 from .tables import (
     dump_comments,
@@ -9,9 +10,15 @@ from .tables import (
 
 __all__ = [
     "append_log",
+    "compact",
     "dump_comments",
     "ensure_database",
+    "high_water",
+    "latest",
     "log_ingestion",
+    "open_batches",
+    "read_batches",
+    "write_batch",
     "write_roster",
     "write_roster_chunks",
     "write_roster_jdbc",

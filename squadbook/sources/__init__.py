@@ -4,6 +4,7 @@ from .comments import (
     parse_pages,
     read_comments,
     split_corrupt,
+    video_places,
 )
 from .jdbc import jdbc_options, read_table_jdbc
 from .rosters import (
@@ -33,4 +34,5 @@ __all__ = [
     "read_roster_csv",
     "read_table_jdbc",
     "split_corrupt",
+    "video_places",
 ]

@@ -57,14 +57,20 @@ def split_corrupt(
     return read.where(~F.col("broken")).drop("broken"), read.where("broken").drop(parsed, "broken")
 
 
+def video_places(search_pages: DataFrame) -> DataFrame:
+    """``video_id, term_no, page_no, pos`` of every result, also without an id; pages may stream."""
+    good, _ = split_corrupt(search_pages, SEARCH_PAGE_SCHEMA)
+    items = good.select("term_no", "page_no", F.posexplode("parsed.items").alias("pos", "item"))
+    return items.select(F.col("item.id.videoId").alias("video_id"), "term_no", "page_no", "pos")
+
+
 def extract_video_ids(search_pages: DataFrame, per_term: int | None = None) -> DataFrame:
     """``video_id, term_no, page_no, pos``: each video at its first place in the walk.
 
     All results that were landed count, or with ``per_term`` the first ones of every term.
     Results without an id are skipped.
     """
-    good, _ = split_corrupt(search_pages, SEARCH_PAGE_SCHEMA)
-    items = good.select("term_no", "page_no", F.posexplode("parsed.items").alias("pos", "item"))
+    items = video_places(search_pages)
     if per_term is not None:
         in_term = Window.partitionBy("term_no").orderBy("page_no", "pos")
         items = (
@@ -72,14 +78,16 @@ def extract_video_ids(search_pages: DataFrame, per_term: int | None = None) -> D
             .where(F.col("__nth") <= per_term)
             .drop("__nth")
         )
-    ids = items.select(F.col("item.id.videoId").alias("video_id"), "term_no", "page_no", "pos")
     return dedup_first(
-        ids.where(F.col("video_id") != ""), ["video_id"], ["term_no", "page_no", "pos"]
+        items.where(F.col("video_id") != ""), ["video_id"], ["term_no", "page_no", "pos"]
     )
 
 
 def extract_comments(comment_pages: DataFrame) -> DataFrame:
-    """Comments with their place ``video_ord, page_no, pos``; absent fields get defaults."""
+    """Comments with their place ``video_ord, page_no, pos``; absent fields get defaults.
+
+    A page is unfolded on its own, so pages may be a stream.
+    """
     good, _ = split_corrupt(comment_pages, COMMENT_PAGE_SCHEMA)
     items = good.select(
         "video_id", "video_ord", "page_no", F.posexplode("parsed.items").alias("pos", "item")

@@ -140,6 +140,23 @@ def test_an_alias_of_thousands_of_words(spark):
         assert counts(count_mentions(comments, aliases, broadcast_bytes=limit)) == {"All": 2, "One": 4}
 
 
+def test_long_aliases_that_begin_alike_have_anchors_of_their_own(spark):
+    begin = " ".join(f"b{i}" for i in range(20))
+    names = [f"{begin} own{k} {begin}" for k in range(50)]
+    texts = [f"x {names[3]}, y", begin, f"{begin} own7 b0", f"{names[4]} {names[4]}"]
+    comments = spark.createDataFrame(list(enumerate(texts)), "comment_id int, text string")
+    aliases = spark.createDataFrame([(n, f"N{k}") for k, n in enumerate(names)], "alias string, canonical string")
+    table = prepare_aliases(aliases)
+    assert table.names.select("__run").distinct().count() == 50
+    for limit in (BROADCAST_BYTES, 0):
+        assert counts(count_mentions(comments, table, broadcast_bytes=limit)) == {"N3": 1, "N4": 1}
+    assert mentions.all_mentions(comments, table).count() == 3
+    # Words that are frequent in texts are avoided as well.
+    rare = spark.createDataFrame([("a b c d e f g h", "X")], "alias string, canonical string")
+    sample = spark.createDataFrame([("a b c d e f h " * 50,)], "text string")
+    assert prepare_aliases(rare, texts=sample).names.first()["at"] == 6
+
+
 def test_loose_boundary(spark):
     texts = ["neymar jr. is great", "neymar jr.x", "xneymar jr.", "(neymar jr.)", "neymar jr..", "neymar jr"]
     comments = spark.createDataFrame(list(enumerate(texts)), "comment_id int, text string")
@@ -174,10 +191,11 @@ def test_hot_word_and_mixed_case_aliases(spark):
 def test_large_alias_tables_meet_the_texts_in_a_shuffle(spark, comments, aliases, shuffled_joins):
     counted = count_mentions(comments, aliases, broadcast_bytes=0)
     matched = match_mentions(comments, aliases, broadcast_bytes=0)
-    for df, broadcasts in ((counted, 2), (matched, 2)):
+    for df in (counted, matched):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
-        assert plan.count("BroadcastExchange") == broadcasts  # the bitmaps
+        # The bitmap is a value in the selection that cuts the texts.
+        assert "BroadcastExchange" not in plan and plan.count("regexp_extract_all") == 1
     assert counts(counted) == counts(count_mentions(comments, aliases))
     assert sorted(map(tuple, matched.collect())) == sorted(
         map(tuple, match_mentions(comments, aliases).collect())
