@@ -219,23 +219,23 @@ def _flags(names: DataFrame, flag_bits: int) -> DataFrame:
 
 
 def _begins(cut: Column, table: AliasTable, starts: bool) -> Column:
-    """Where in a cut text runs may begin, with a word or not; the first segment's place is 0.
+    """Where in a cut text runs may begin, with a word or not.
 
     The blanks around a text make its first and last segment a non-word one each. Both are
     left out, as they touch no boundary on their outer side: in word mode the last one is cut
     off, so that a run beyond it is null.
     """
-    last = F.size(cut) - 1 - _outer(table)
-    first, step = 0, 1
+    last = F.size(cut) - _outer(table)
+    first, step = 1, 1
     if table.boundary == "word":  # words and others take turns
-        first, step = (0 if starts else 1), 2
+        first, step = (1 if starts else 2), 2
     none = F.array().cast("array<int>")
     places = F.when(last >= first, F.sequence(F.lit(first), last, F.lit(step))).otherwise(none)
     if table.boundary == "word":
         return places
     if starts:
-        return F.filter(places, lambda i: _is_word(F.get(cut, i + 1)))
-    return F.filter(places, lambda i: ~_is_word(F.get(cut, i + 1)) & ~_is_word(F.get(cut, i)))
+        return F.filter(places, lambda i: _is_word(F.get(cut, i)))
+    return F.filter(places, lambda i: ~_is_word(F.get(cut, i)) & ~_is_word(F.get(cut, i - 1)))
 
 
 def _outer(table: AliasTable) -> int:
@@ -245,10 +245,10 @@ def _outer(table: AliasTable) -> int:
 
 def _fits(cut: Column, table: AliasTable, ends: bool | None, n: int, place: Column) -> Column:
     """Whether ``n`` segments from a place on are within the text and end right, or anyhow."""
-    inside = place + n <= F.size(cut) - _outer(table)
+    inside = place + n <= F.size(cut) - _outer(table) + 1
     if ends is None:
         return inside
-    last, behind = _is_word(F.get(cut, place + n)), _is_word(F.get(cut, place + n + 1))
+    last, behind = _is_word(F.get(cut, place + (n - 1))), _is_word(F.get(cut, place + n))
     return inside & (last if ends else ~last & ~behind)
 
 
@@ -264,21 +264,21 @@ def _with_flags(comments: DataFrame, table: AliasTable) -> DataFrame:
 
 def _spelled(cut: Column, place: Column, n: int) -> Column:
     # ``slice`` would copy the whole text for every run.
-    return F.concat(*(F.get(cut, place + 1 + k) for k in range(n)))
+    return F.concat(F.get(cut, place), *(F.get(cut, place + k) for k in range(1, n)))
 
 
-def _cut_and_flags(table: AliasTable) -> Column:
+def _with_cut(table: AliasTable, body: Callable[[Column, Column], Column]) -> Column:
+    """``body`` of the cut text and the flags, each as a value of its own: fields cost time."""
     padded = F.concat(F.lit(" "), F.lower(F.coalesce(F.col(_TEXT), F.lit(""))), F.lit(" "))
     cut = segments(padded, table.boundary == "loose")
     if table.boundary == "word":
         cut = _let(cut, lambda c: F.slice(c, F.lit(1), F.size(c) - 1))
-    return F.struct(cut.alias("cut"), F.col(_FLAGS).alias("flags"))
+    return _let(cut, lambda c: _let(F.col(_FLAGS), lambda f: body(c, f)))
 
 
-def _begun(value: Column, table: AliasTable, starts: bool) -> Column:
+def _begun(cut: Column, flags: Column, table: AliasTable, starts: bool) -> Column:
     """The places at which some alias may begin, by the flag of their segment."""
-    cut, flags = value["cut"], value["flags"]
-    return F.filter(_begins(cut, table, starts), lambda i: _known(F.get(cut, i + 1), flags, table))
+    return F.filter(_begins(cut, table, starts), lambda i: _known(F.get(cut, i), flags, table))
 
 
 def _short_runs(
@@ -286,23 +286,22 @@ def _short_runs(
 ) -> DataFrame:
     """``*key, __run``: runs that have the shape, and a flag, of an alias; distinct unless asked."""
 
-    def of_shape(value: Column, places: Column, ends: bool, n: int) -> Column:
-        cut, flags = value["cut"], value["flags"]
+    def of_shape(cut: Column, flags: Column, places: Column, ends: bool, n: int) -> Column:
         if table.boundary == "loose":
             places = F.filter(places, lambda i: _fits(cut, table, ends, n, i))
         spelled = F.transform(places, lambda i: _spelled(cut, i, n))
         # A single segment has been looked up as a beginning.
         return spelled if n == 1 else F.filter(spelled, lambda r: _known(r, flags, table))
 
-    def started(value: Column, starts: bool) -> Column:
+    def started(cut: Column, flags: Column, starts: bool) -> Column:
         shapes = [(e, n) for s, e, n in table.shapes if s == starts]
         return _let(
-            _begun(value, table, starts),
-            lambda places: F.flatten(F.array(*(of_shape(value, places, *shape) for shape in shapes))),
+            _begun(cut, flags, table, starts),
+            lambda places: F.flatten(F.array(*(of_shape(cut, flags, places, *shape) for shape in shapes))),
         )
 
     kinds = sorted({starts for starts, _, _ in table.shapes})
-    found = _let(_cut_and_flags(table), lambda v: F.flatten(F.array(*(started(v, s) for s in kinds))))
+    found = _with_cut(table, lambda c, f: F.flatten(F.array(*(started(c, f, s) for s in kinds))))
     found = found if each_place else F.array_distinct(found)
     # Outer explodes: else what they unfold would be computed again to rule out empty arrays.
     rows = _with_flags(comments, table).select(*key, found.alias("runs"))
@@ -312,9 +311,8 @@ def _short_runs(
 def _anchor_runs(comments: DataFrame, key: Sequence[str], table: AliasTable) -> DataFrame:
     """``*key, __run, places, cut`` for each run of a text that may be the anchor of an alias."""
 
-    def places(value: Column) -> Column:
-        cut, flags = value["cut"], value["flags"]
-        at = F.flatten(F.array(*(_begun(value, table, starts) for starts in table.anchors)))
+    def places(cut: Column, flags: Column) -> Column:
+        at = F.flatten(F.array(*(_begun(cut, flags, table, starts) for starts in table.anchors)))
         fitting = F.filter(at, lambda i: _fits(cut, table, None, MAX_RUN, i))
         placed = F.transform(fitting, lambda i: F.struct(_spelled(cut, i, MAX_RUN).alias("run"), i.alias("at")))
         met = F.filter(placed, lambda r: _known(r["run"], flags, table))
@@ -330,7 +328,7 @@ def _anchor_runs(comments: DataFrame, key: Sequence[str], table: AliasTable) ->
             ),
         )
 
-    met = _let(_let(_cut_and_flags(table), places), grouped)
+    met = _let(_with_cut(table, places), grouped)
     met = _with_flags(comments, table).select(*key, met.alias("met"))
     met = met.select(*key, F.explode_outer("met").alias("met")).where(F.col("met").isNotNull())
     return met.select(*key, F.col("met.run").alias(_RUN), "met.places", "met.cut")
@@ -345,11 +343,11 @@ def _long_found(
 
     def whole(place: Column) -> Column:
         start = place - F.col("at")
-        same = (start >= 0) & (start + n <= F.size(cut) - _outer(table))
-        spelled = F.array_join(F.slice(cut, start + 2, n), "")
+        same = (start >= 1) & (start + n <= F.size(cut) - _outer(table) + 1)
+        spelled = F.array_join(F.slice(cut, start + 1, n), "")
         same = same & (F.when(same, spelled) == F.col(_PHRASE))
         if table.boundary == "loose":
-            before, after = F.get(cut, start), F.get(cut, start + n + 1)
+            before, after = F.get(cut, start - 1), F.get(cut, start + n)
             begins = _is_word(F.substring(_PHRASE, 1, 1))
             same = same & (begins | ~_is_word(before)) & (F.col("ends") | ~_is_word(after))
         return F.coalesce(same, F.lit(False))
