@@ -135,6 +135,15 @@ def _video_ids(cut: str) -> str:
     """
 
 
+_HISTOGRAM = f"""
+    WITH u AS (
+        SELECT nationality_name, row_number() OVER (PARTITION BY sofifa_id
+            ORDER BY year DESC, gender ASC, player_id ASC) AS p
+        FROM ({_ROSTER}) WHERE sofifa_id IS NOT NULL
+    )
+    SELECT nationality_name, count(*) AS player_count FROM u WHERE p = 1 GROUP BY ALL
+"""
+
 _COMMENTS = """
     WITH t AS (SELECT *, string_split(text, chr(10)) AS lines FROM conversations),
     items AS (
@@ -255,14 +264,8 @@ ORACLES = {
         )
         SELECT * FROM r WHERE rank = 1
     """,
-    "nationality_histogram": f"""
-        WITH u AS (
-            SELECT nationality_name, row_number() OVER (PARTITION BY sofifa_id
-                ORDER BY year DESC, gender ASC, player_id ASC) AS p
-            FROM ({_ROSTER}) WHERE sofifa_id IS NOT NULL
-        )
-        SELECT nationality_name, count(*) AS player_count FROM u WHERE p = 1 GROUP BY ALL
-    """,
+    "nationality_histogram": _HISTOGRAM,
+    "bucketed_histogram": _HISTOGRAM,
     "clean_numbers": r"""
         SELECT o_orderkey,
                TRY_CAST(regexp_extract(o_orderpriority, '(-?\d+(?:\.\d+)?)', 1) AS INTEGER) AS priority,
@@ -433,6 +436,20 @@ ORACLES = {
     "stream_dump": "SELECT * FROM conversations",
     "stream_dedup": "SELECT DISTINCT user_id, event_type FROM events",
     "stream_take": "SELECT least(count(*), 1000) AS n_events, least(count(*), 1000) AS n_distinct, least(count(*), 1000) AS n_known FROM events",
+    "incremental_load": """
+        WITH p AS (
+            SELECT upper(substr(o_orderstatus, 1, 1)) || '_' || year(o_orderdate) || '_' || o_custkey
+                       AS player_id,
+                   CASE WHEN o_orderstatus = 'F' AND year(o_orderdate) = 1995 THEN 'Changed'
+                        ELSE o_orderpriority END AS nationality_name,
+                   o_totalprice AS value_eur, CAST(year(o_orderdate) AS INTEGER) AS year,
+                   lower(o_orderstatus) AS gender,
+                   row_number() OVER (PARTITION BY o_orderstatus, year(o_orderdate), o_custkey
+                                      ORDER BY 'Order ' || o_orderkey) AS p
+            FROM orders WHERE NOT (o_orderstatus = 'O' AND year(o_orderdate) = 1997)
+        )
+        SELECT * EXCLUDE (p) FROM p WHERE p = 1
+    """,
     "running_mentions": _TURNS + "SELECT * FROM counts",
     "compacted_mentions": _TURNS + "SELECT * FROM counts",
     "stream_dedup_within": "SELECT DISTINCT user_id, event_type, date_trunc('day', ts)::TIMESTAMP AS day FROM events",

@@ -27,6 +27,7 @@ from ..functions import (
 from ..runtime import scratch_path, stored
 from ..schema import COMMENT_PAGE_SCHEMA, CORE_COLUMNS
 from . import reports
+from .incremental import load_changed_seasons, read_roster
 from .roster import build_roster, load_roster, sort_roster, standardize_roster
 
 TURN = ["conv_id", "turn"]
@@ -171,6 +172,16 @@ def nationality_histogram(spark, sf):
     return reports.nationality_histogram(_roster(spark, sf))
 
 
+def bucketed_histogram(spark, sf):
+    """The histogram on a table in buckets of players: none of their rows is shuffled."""
+    sinks.ensure_database(spark, "squadbook_queries")
+    table = f"squadbook_queries.bucketed_{uuid.uuid4().hex}"
+    sinks.write_bucketed_roster(_roster(spark, sf), table, 16)
+    histogram = stored(reports.nationality_histogram(spark.table(table)), "histogram")
+    spark.sql(f"DROP TABLE {table}")
+    return histogram
+
+
 def most_discussed_player(spark, sf):
     roster = op.tag_source(_names(spark, sf), 2022, "male")
     comments = _table(spark, sf, "conversations")
@@ -305,6 +316,23 @@ def load_roster_from_files(spark, sf):
     return logged.join(read)
 
 
+def incremental_load(spark, sf):
+    """A whole load, then one after a season changed and another went: only these are touched."""
+    manifest, _ = _season_files(spark, sf)
+    folder = scratch_path(spark, "incremental")
+    places = f"{folder}/players", f"{folder}/log", f"{folder}/seasons"
+    first = load_changed_seasons(spark, manifest, *places, expected={})
+    changed = next(e for e in manifest if (e.group, e.year) == ("F", 1995))
+    rows = stored(spark.read.csv(changed.path, header=True), "changed")
+    rows.withColumn("Nationality", F.lit("Changed")).write.mode("overwrite").csv(changed.path, header=True)
+    left = [e for e in manifest if (e.group, e.year) != ("O", 1997)]
+    second = load_changed_seasons(spark, left, *places, expected={})
+    touched = [first.loaded, second.loaded, second.removed]
+    if [len(t) for t in touched] != [len(manifest), 1, 1]:
+        raise RuntimeError(f"seasons touched: {touched}")
+    return read_roster(spark, places[0]).select("player_id", "nationality_name", "value_eur", "year", "gender")
+
+
 def standardize_season(spark, sf):
     """One season's raw columns under untidy headers, on their own."""
     orders = _table(spark, sf, "orders").where(_in_year("o_orderdate", 1998))
@@ -779,5 +807,7 @@ QUERIES = {
         stream_video_ids,
         stream_comments,
         stream_log,
+        incremental_load,
+        bucketed_histogram,
     )
 }

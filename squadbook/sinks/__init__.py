@@ -3,6 +3,7 @@ from .ingestion_log import append_log, log_ingestion
 from .tables import (
     dump_comments,
     ensure_database,
+    write_bucketed_roster,
     write_roster,
     write_roster_chunks,
     write_roster_jdbc,
@@ -19,6 +20,7 @@ __all__ = [
     "open_batches",
     "read_batches",
     "write_batch",
+    "write_bucketed_roster",
     "write_roster",
     "write_roster_chunks",
     "write_roster_jdbc",

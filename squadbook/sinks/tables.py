@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import ingestion_metrics
 from ..operators.align import union_rosters
 from ..runtime import stored
-from ..schema import GENDER, SORT_COLUMNS, YEAR
+from ..schema import ENTITY_KEY, GENDER, SORT_COLUMNS, YEAR
 
 # Over how many tasks, and so files, the rows of one season are spread at most.
 _SALTS = 16
@@ -91,6 +91,23 @@ def write_roster(
         df.write.partitionBy(*partition_by).format("parquet").saveAsTable(target)
 
 
+def write_bucketed_roster(
+    df: DataFrame, table: str, buckets: int, entity: str = ENTITY_KEY, sort_by: Sequence[str] = ()
+) -> None:
+    """A roster as a table in buckets of its entities; an existing one is replaced.
+
+    Whatever goes entity by entity, such as ``unique_entity_histogram``, reads a bucket in a task
+    and shuffles no row of it. Every bucket is one file, as rows are dealt like buckets before
+    they are written; entities are many and a roster has few rows of each, while rows without
+    one, of which there may be any number, are spread and make further files of one bucket.
+    """
+    spread = F.when(F.col(entity).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(_SALTS)))
+    dealt = df.where(F.col(entity).isNotNull()).repartition(buckets, entity)
+    lost = df.where(F.col(entity).isNull()).repartition(_SALTS, spread)
+    writer = dealt.union(lost).write.mode("overwrite").bucketBy(buckets, entity)
+    writer.sortBy(entity, *sort_by).format("parquet").saveAsTable(table)
+
+
 def write_roster_chunks(
     frames: Iterable[DataFrame], target: str, mode: str = "replace", **options
 ) -> None:

@@ -16,6 +16,7 @@ from .rosters import (
     parse_manifest,
     read_manifest,
     read_roster_csv,
+    season_digests,
 )
 
 __all__ = [
@@ -33,6 +34,7 @@ __all__ = [
     "read_manifest",
     "read_roster_csv",
     "read_table_jdbc",
+    "season_digests",
     "split_corrupt",
     "video_places",
 ]

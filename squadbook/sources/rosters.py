@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import hashlib
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import astuple, dataclass
@@ -69,17 +70,40 @@ def check_manifest(expected: DataFrame, manifest: DataFrame) -> DataFrame:
     return expected.join(manifest.select(season).distinct(), season, "left_anti")
 
 
-def _headers(spark: SparkSession, entry: SeasonFile) -> list[tuple[str, tuple[str, ...]]]:
-    """The CSV files of an entry, each with its header; only first lines are read."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    pattern = jvm.org.apache.hadoop.fs.Path(entry.path)
-    store = pattern.getFileSystem(conf)
+def _listed(spark: SparkSession, entry: SeasonFile) -> list:
+    """The status of every CSV file of an entry."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(entry.path)
+    store = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
     found = []
     for status in store.globStatus(pattern) or ():
         inside = store.listStatus(status.getPath()) if status.isDirectory() else [status]
-        found += [s.getPath() for s in inside if s.isFile() and s.getPath().getName()[0] not in "_."]
+        found += [s for s in inside if s.isFile() and s.getPath().getName()[0] not in "_."]
     if not found:
         raise FileNotFoundError(entry.path)
+    return found
+
+
+def season_digests(spark: SparkSession, manifest: Iterable[SeasonFile]) -> dict[SeasonFile, str]:
+    """For every entry a digest of its files' names, lengths and times of writing.
+
+    Files are listed and not read, so one that is written again with the same length within
+    the same tick of its store's clock looks unchanged.
+    """
+
+    def digest(entry: SeasonFile) -> str:
+        files = sorted((str(s.getPath()), s.getLen(), s.getModificationTime()) for s in _listed(spark, entry))
+        return hashlib.md5(repr(files).encode()).hexdigest()
+
+    entries = list(manifest)
+    with ThreadPoolExecutor(_HEADER_READS) as pool:
+        return dict(zip(entries, pool.map(digest, entries)))
+
+
+def _headers(spark: SparkSession, entry: SeasonFile) -> list[tuple[str, tuple[str, ...]]]:
+    """The CSV files of an entry, each with its header; only first lines are read."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    found = [s.getPath() for s in _listed(spark, entry)]
+    store = found[0].getFileSystem(conf)
     codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
     files = []
     for path in found:
