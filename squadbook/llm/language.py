@@ -176,6 +176,11 @@ class Model:
         return names, scores, bits
 
 
+# Rows that are ranked for each that is wanted, as some are repeats or have no letters.
+_SPARE = 8
+_PLACES = 1 << 40
+
+
 def labelled_samples(
     docs: DataFrame, *, doc_id: str, text: str, lang: str, documents: int, characters: int
 ) -> dict[str, str]:
@@ -188,11 +193,18 @@ def labelled_samples(
     rows = docs.where(~is_held_out(F.col(doc_id))).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text")
     )
-    rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    rows = rows.where(F.col("lang").isNotNull()).withColumn("key", F.xxhash64("text"))
+    shares = rows.groupBy("lang").agg(
+        F.least(F.lit(1.0), F.lit(_SPARE * documents) / F.count(F.lit(1))).alias("part_of_all")
+    )
+    place = F.pmod("key", F.lit(_PLACES))
+    # A row a language: fewer than the sample, which the driver holds.
+    rows = rows.join(F.broadcast(shares), "lang").where(place <= F.col("part_of_all") * _PLACES)
+    rows = rows.where(F.col("text").rlike(r"\p{L}"))
     share = max(1, characters // documents)
     middle = F.greatest(F.lit(1), ((F.length("text") - share) / 2).cast("int") + 1)
     rows = rows.select(
-        "lang", F.xxhash64("text").alias("key"), F.substring(F.col("text"), middle, F.lit(share)).alias("part")
+        "lang", place.alias("key"), F.substring(F.col("text"), middle, F.lit(share)).alias("part")
     )
     first = Window.partitionBy("lang").orderBy("key", "part")
     chosen = (

@@ -42,11 +42,34 @@ LICENSES = {
     "bsd-4-clause": ("(?:original|4 clause|four clause) bsd|bsd 4 clause", "bsd 4 clause", "bsd"),
     "0bsd": ("zero clause bsd|0bsd", "0bsd", "bsd"),
     "isc": ("isc|internet systems consortium", "isc", "isc internet"),
-    "gpl-2": ("gnu general public license(?: version)? 2|(?:gnu )?gpl ?v? ?2(?: 0)?", "gpl 2 0", "gnu gpl"),
-    "gpl-3": ("gnu general public license(?: version)? 3|(?:gnu )?gpl ?v? ?3(?: 0)?", "gpl 3 0", "gnu gpl"),
+    "gpl-2": ("gnu general public license(?: version)? 2|(?:gnu )?gpl(?: version)? ?v? ?2(?: 0)?", "gpl 2 0", "gnu gpl"),
+    "gpl-3": ("gnu general public license(?: version)? 3|(?:gnu )?gpl(?: version)? ?v? ?3(?: 0)?", "gpl 3 0", "gnu gpl"),
     "lgpl-2.1": ("gnu lesser general public license(?: version)? 2 1|lgpl ?v? ?2 1", "lgpl 2 1", "gnu gpl"),
     "lgpl-3": ("gnu lesser general public license(?: version)? 3|lgpl ?v? ?3(?: 0)?", "lgpl 3 0", "gnu gpl"),
     "agpl-3": ("gnu affero general public license(?: version)? 3|agpl ?v? ?3(?: 0)?", "agpl 3 0", "gnu gpl"),
+    "gpl": ("(?:gnu )?gpl|gnu general public license", "gpl", "gnu gpl"),
+    "gpl-2-or-later": (
+        "(?:gnu general public license|(?:gnu )?gpl)(?: version)? ?v? ?2(?: 0)? (?:or(?: any)? later|plus)(?: versions?)?",
+        "gpl 2 0 or later",
+        "gnu gpl",
+    ),
+    "gpl-3-or-later": (
+        "(?:gnu general public license|(?:gnu )?gpl)(?: version)? ?v? ?3(?: 0)? (?:or(?: any)? later|plus)(?: versions?)?",
+        "gpl 3 0 or later",
+        "gnu gpl",
+    ),
+    "lgpl": ("(?:gnu )?lgpl|gnu (?:lesser|library) general public license", "lgpl", "gnu gpl"),
+    "lgpl-2.1-or-later": (
+        "(?:gnu lesser general public license|(?:gnu )?lgpl)(?: version)? ?v? ?2 1 or(?: any)? later(?: versions?)?",
+        "lgpl 2 1 or later",
+        "gnu gpl",
+    ),
+    "agpl": ("(?:gnu )?agpl|gnu affero general public license", "agpl", "gnu gpl"),
+    "apache": ("apache(?: software)?", "apache", "apache"),
+    "bsd": ("bsd(?: style)?|berkeley software distribution", "bsd", "bsd berkeley"),
+    "mpl": ("mpl|mozilla public license", "mpl", "mozilla mpl"),
+    "mpl-1.1": ("mozilla public license(?: version)? 1 1|mpl ?v? ?1 1", "mpl 1 1", "mozilla mpl"),
+    "epl": ("epl|eclipse public license", "epl", "eclipse epl"),
     "mpl-2": ("mozilla public license(?: version)? 2(?: 0)?|mpl ?v? ?2(?: 0)?", "mpl 2 0", "mozilla mpl"),
     "epl-2": ("eclipse public license(?: version)? 2(?: 0)?", "epl 2 0", "eclipse epl"),
     "epl-1": ("eclipse public license(?: version)? 1(?: 0)?", "epl 1 0", "eclipse epl"),
@@ -96,6 +119,47 @@ WORDINGS = [
     ("mit", "permission", "permission is hereby granted free of charge to any person obtaining a copy", 0, 1.0),
     ("isc", "permission", "permission to use copy modify and or distribute this software", 0, 1.0),
     ("bsd", "redistribut", "redistribution and use in source and binary forms", 0, 0.9),
+    # Short headers of files.
+    ("gpl", "free software", "this (?:program|file|software) is free software(?: you can redistribute it and or modify it under the terms of the gnu general public license)?", 1, 0.9),
+    ("gpl-2-or-later", "general public", "gnu general public license as published by the free software foundation either version 2 of the license or(?: at your option)? any later version", 0, 1.0),
+    ("gpl-3-or-later", "general public", "gnu general public license as published by the free software foundation either version 3 of the license or(?: at your option)? any later version", 0, 1.0),
+    ("gpl-2", "general public", "gnu general public license version 2 as published by the free software foundation", 0, 1.0),
+    ("lgpl", "free software", "this library is free software(?: you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license)?", 1, 0.9),
+    ("lgpl-2.1-or-later", "lesser general", "gnu lesser general public license as published by the free software foundation either version 2 1 of the license or(?: at your option)? any later version", 0, 1.0),
+    ("apache-2", "apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license", 0, 1.0),
+    ("apache-2", "www apache", "www apache org licenses license 2 0", 0, 1.0),
+    ("mpl-2", "mozilla", "this source code form is subject to the terms of the mozilla public license v 2 0", 0, 1.0),
+    ("mpl-1.1", "mozilla", "the contents of this file are subject to the mozilla public license version 1 1", 0, 1.0),
+    ("epl", "eclipse", "this program and the accompanying materials are made available under the terms of the eclipse public license", 1, 0.95),
+    ("cddl-1", "common development", "the contents of this file are subject to the terms of the common development and distribution license", 0, 0.95),
+    ("bsd", "bsd", "use of this source code is governed by a bsd style license", 0, 1.0),
+    ("mit", "mit", "use of this source code is governed by an mit style license", 0, 1.0),
+    # Wordings of license texts.
+    ("mit", "software is provided", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability", 1, 0.8),
+    ("bsl-1", "organization", "to any person or organization obtaining a copy of the software and accompanying documentation covered by this license", 0, 1.0),
+    ("bsd-3-clause", "endorse", "neither the name of(?: [^ ]+){1,12} nor the names of its contributors may be used to endorse or promote products", 0, 0.95),
+    ("bsd-4-clause", "advertising", "all advertising materials mentioning features or use of this software must display", 0, 0.95),
+    ("zlib", "authors be held", "in no event will the authors be held liable for any damages arising from the use of this software", 0, 0.9),
+    ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain", 0, 1.0),
+    ("isc", "hereby granted", "provided that the above copyright notice and this permission notice appear in all copies", 1, 0.8),
+    ("ofl-1.1", "font software", "this font software is licensed under the sil open font license", 0, 0.95),
+    ("artistic-2", "copyright holder", "this license establishes the terms under which a given free software package may be copied modified distributed and or redistributed", 0, 0.95),
+    # Titles and bare names with a version.
+    ("gpl-2", "gpl", "gnu gpl(?: version)? ?v? ?2(?: 0)?|gplv2", 5, 0.7),
+    ("gpl-3", "gpl", "gnu gpl(?: version)? ?v? ?3(?: 0)?|gplv3", 5, 0.7),
+    ("gpl-2-or-later", "gpl", "gpl(?: version)? ?v? ?2(?: 0)? (?:or(?: any)? later|plus)(?: versions?)?", 4, 0.8),
+    ("gpl-3-or-later", "gpl", "gpl(?: version)? ?v? ?3(?: 0)? (?:or(?: any)? later|plus)(?: versions?)?", 4, 0.8),
+    ("gpl-2", "general public", "gnu general public license version 2(?: june 1991)?", 5, 0.8),
+    ("gpl-3", "general public", "gnu general public license version 3(?: 29 june 2007)?", 5, 0.8),
+    ("lgpl-2.1", "lesser general", "gnu lesser general public license version 2 1(?: february 1999)?", 5, 0.8),
+    ("agpl-3", "affero", "gnu affero general public license version 3(?: 19 november 2007)?", 5, 0.8),
+    ("apache-2", "apache", "apache license version 2 0(?: january 2004)?", 5, 0.8),
+    ("mpl-2", "mozilla", "mozilla public license version 2 0", 5, 0.8),
+    ("epl-2", "eclipse", "eclipse public license v(?:ersion)? ?2 0", 5, 0.8),
+    ("bsl-1", "boost", "boost software license version 1 0", 5, 0.8),
+    ("artistic-2", "artistic", "the artistic license 2 0", 5, 0.8),
+    ("wtfpl", "want to", "do what the fuck you want to public license version 2", 5, 0.9),
+    ("cc0", "cc0", "cc0 1 0 universal", 3, 0.9),
     ("cc0", "copyright domain", "no copyright reserved|dedicated to the public domain", 2, 0.7),
     ("proprietary", "proprietary", "proprietary and confidential|confidential and proprietary", 3, 0.8),
     ("cc-by-nc-sa", "cc by nc sa", "cc by nc sa(?: [0-9] 0)?", 3, 0.85),
@@ -108,7 +172,10 @@ WORDINGS = [
     ("copyright", "copyright", "copyright (?:c )?(?:[0-9]{4}(?: [0-9]{4})?|by)", 9, 0.4),
 ]
 # Wordings whose keyword is a phrase rather than a choice of words.
-_PHRASES = ("cc by",)
+_PHRASES = (
+    "cc by", "free software", "general public", "lesser general", "www apache", "common development",
+    "software is provided", "authors be held", "hereby granted", "font software", "copyright holder", "want to",
+)
 
 
 class Rule(NamedTuple):

@@ -109,13 +109,14 @@ def quality_rules(
     max_repeat_percent: int = 30,
     min_documents: int = 20,
     max_line_percent: int = 5,
+    max_line_documents: int = 1000,
     min_left_percent: int = 50,
 ) -> DataFrame:
     """Measures and verdict of every document.
 
-    A line is removed from the documents of a host if at least ``min_documents`` of them
-    and ``max_line_percent`` in a hundred hold it (compared without case, punctuation and
-    spacing). A document fails if it has fewer than ``min_words`` words, if more than
+    A line is removed from the documents of a host if ``max_line_documents`` of them hold it,
+    however large the host, or ``max_line_percent`` in a hundred and at least ``min_documents``
+    (compared without case, punctuation and spacing). A document fails if it has fewer than ``min_words`` words, if more than
     ``max_repeat_percent`` of its words lie in repeated windows, or if fewer than
     ``min_left_percent`` of its words are left once such lines are gone.
 
@@ -127,12 +128,15 @@ def quality_rules(
         measures.select("host", F.explode(F.array_distinct(F.col("lines.h"))).alias("h"))
         .groupBy("host", "h")
         .agg(F.count(F.lit(1)).alias("documents"))
-        .where(F.col("documents") >= min_documents)
+        .where(F.col("documents") >= min(min_documents, max_line_documents))
     )
     hosts = measures.groupBy("host").agg(F.count(F.lit(1)).alias("all_documents"))
     frequent = (
         counted.join(hosts, "host")
-        .where(F.col("documents") * 100 >= F.col("all_documents") * max_line_percent)
+        .where(
+            (F.col("documents") >= max_line_documents)
+            | (F.col("documents") * 100 >= F.col("all_documents") * max_line_percent)
+        )
         .select("host", "h")
     )
     removed = (

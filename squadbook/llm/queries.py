@@ -377,7 +377,7 @@ ORACLES: dict[str, str] = {
         ), frequent AS (
             SELECT host, h FROM (SELECT host, h, count(DISTINCT row) AS documents FROM k GROUP BY ALL)
             JOIN (SELECT host, count(*) AS all_documents FROM d GROUP BY host) USING (host)
-            WHERE documents >= 20 AND documents * 100 >= all_documents * 5
+            WHERE documents >= 1000 OR (documents >= 20 AND documents * 100 >= all_documents * 5)
         ), removed AS (
             SELECT row, CAST(sum(n) AS BIGINT) AS n_removed_words, count(*) AS n_removed_lines
             FROM k JOIN frequent USING (host, h) GROUP BY row

@@ -52,6 +52,41 @@ def test_labels_and_suppression():
     assert labels("we went mit der bahn under the bridge") == set()
 
 
+PROBES = {
+    # Names without a version.
+    "released under the gnu gpl": {"gpl"},
+    "under the bsd license": {"bsd"},
+    "under the apache license": {"apache"},
+    "licensed under the mozilla public license": {"mpl"},
+    "distributed under the terms of the gnu affero general public license": {"agpl"},
+    # With a version, or later.
+    "gnu gpl version 2": {"gpl-2"},
+    "gpl 2 or later": {"gpl-2-or-later"},
+    "licensed under gpl version 3 or any later version": {"gpl-3-or-later"},
+    "under the apache license version 2": {"apache-2"},
+    # Headers of files.
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu "
+    "lesser general public license as published by the free software foundation either version 2 1 of the "
+    "license or at your option any later version": {"lgpl", "lgpl-2.1-or-later"},
+    "this source code form is subject to the terms of the mozilla public license v 2 0": {"mpl-2"},
+    "use of this source code is governed by a bsd style license": {"bsd"},
+    # Wordings of texts.
+    "neither the name of the university nor the names of its contributors may be used to endorse or "
+    "promote products": {"bsd-3-clause"},
+    "this is free and unencumbered software released into the public domain": {"unlicense"},
+    # Titles.
+    "gnu affero general public license version 3 19 november 2007": {"agpl-3"},
+    "mozilla public license version 2 0": {"mpl-2"},
+    # Nothing.
+    "the apache helicopter and the free software movement": set(),
+}
+
+
+def test_probes_of_every_group_of_rules():
+    scanner = Scanner()
+    assert {text: {d[2] for d in scanner.detections(text)} for text in PROBES} == PROBES
+
+
 def test_gate_lets_every_rule_through():
     """Whatever a rule matches holds one of the words that let a text be scanned."""
     scanner = Scanner()

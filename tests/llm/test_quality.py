@@ -56,5 +56,18 @@ def test_frequent_lines_of_a_host(spark):
     assert got[101].kept
 
 
+def test_lines_of_a_large_host_go_by_their_number(spark):
+    notice = " ".join(f"notice{k}" for k in range(30))
+    rows = [(i, prose(i, 25) + "\n" + notice, "en", "hot") for i in range(40)]
+    rows += [(100 + i, prose(100 + i, 60), "en", "hot") for i in range(1000)]
+    few = {r.doc_id: r for r in quality_rules(frame(spark, rows)).collect()}
+    # Less than five in a hundred hold it, and no thousand.
+    assert all(few[i].kept and few[i].n_removed_lines == 0 for i in range(40))
+    many = {r.doc_id: r for r in quality_rules(frame(spark, rows), max_line_documents=40).collect()}
+    # Without the notice less than half of the words are left: depletion decides.
+    assert all(not many[i].kept and not many[i].base_failed and many[i].n_removed_lines == 1 for i in range(40))
+    assert all(many[100 + i].kept for i in range(1000))
+
+
 def test_empty_table(empty):
     assert quality_rules(empty).collect() == []
