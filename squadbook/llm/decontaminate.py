@@ -1,8 +1,9 @@
 """Benchmark questions in documents, also with other numbers, names and units.
 
 Built-in functions only. Words become template tokens: numbers, numbers with a unit, units
-behind a number and names inside a sentence turn into typed placeholders, all else is lower
-case without punctuation. Windows of ``WINDOW`` tokens are hashed and joined with those of
+behind a number and names turn into typed placeholders, all else is lower case without
+punctuation. A name is a capitalised word inside a sentence; one that opens a sentence is a name
+if the same word is one elsewhere in the text. Windows of ``WINDOW`` tokens are hashed and joined with those of
 the benchmark. A document that was found to follow an item over enough windows must also
 fill its slots consistently: along its alignments each value of the item stands for one value
 in the document and each value in the document for one of the item.
@@ -52,23 +53,34 @@ def template_tokens(words: str) -> Column:
     def starts_with_digit(word: Column) -> Column:
         return F.ascii(word).between(48, 57)
 
-    def token(core: Column, i: Column) -> Column:
-        word, before = F.get(words, i), F.get(words, i - 1)
-        number = F.when(core.rlike(r"^[0-9][0-9.,:/-]*$"), F.lit(NUMBER)).when(
-            core.rlike(r"^[0-9][0-9.,]*[a-z%]+$"), F.lit(NUMBER + UNIT)
-        )
-        # Capital first, the rest small, not at the start of a sentence.
-        capital = (word >= "A") & (word < "[") & (F.substring(word, 2, 1) >= "a")
-        return (
-            F.when(starts_with_digit(core), F.coalesce(number, core))
-            .when(capital & ~before.rlike(r"[.!?:]\W*$"), F.lit(NAME))
-            .when(starts_with_digit(before) & F.array_contains(units, core), F.lit(UNIT))
-            .otherwise(core)
-        )
-
-    # The bare words are a lambda's argument, so each is computed once.
-    cores = F.array(F.transform(words, bare))
-    return F.get(F.transform(cores, lambda c: F.transform(c, token)), F.lit(0))
+    def capital(i: Column) -> Column:
+        word = F.get(words, i)
+        return (word >= "A") & (word < "[") & (F.substring(word, 2, 1) >= "a")
+
+    def opens(i: Column) -> Column:
+        """Whether a word opens the text or a sentence."""
+        return F.coalesce(F.get(words, i - 1).rlike(r"[.!?:]\W*$"), F.lit(True))
+
+    def tokens(cores: Column, names: Column) -> Column:
+        def token(core: Column, i: Column) -> Column:
+            number = F.when(core.rlike(r"^[0-9][0-9.,:/-]*$"), F.lit(NUMBER)).when(
+                core.rlike(r"^[0-9][0-9.,]*[a-z%]+$"), F.lit(NUMBER + UNIT)
+            )
+            return (
+                F.when(starts_with_digit(core), F.coalesce(number, core))
+                .when(capital(i) & (~opens(i) | F.array_contains(names, core)), F.lit(NAME))
+                .when(starts_with_digit(F.get(words, i - 1)) & F.array_contains(units, core), F.lit(UNIT))
+                .otherwise(core)
+            )
+
+        return F.transform(cores, token)
+
+    def named(cores: Column) -> Column:
+        inside = F.array_distinct(F.filter(cores, lambda core, i: capital(i) & ~opens(i)))
+        return F.get(F.transform(F.array(inside), lambda names: tokens(cores, names)), F.lit(0))
+
+    # The bare words are a lambda's argument, so each is computed once; so are the names.
+    return F.get(F.transform(F.array(F.transform(words, bare)), named), F.lit(0))
 
 
 def windows(hashes: str, size: str) -> Column:

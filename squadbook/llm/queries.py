@@ -132,6 +132,15 @@ def _crc32_sql(blob: str) -> str:
     return f"xor(list_reduce({bytes_}, {step}, 4294967295::BIGINT), 4294967295)"
 
 
+def _one_to_one_sql(fills: str) -> str:
+    """SQL for whether each value of an item stands for one of the document, and the other way."""
+
+    def distinct(side: str) -> str:
+        return f"len(list_distinct(list_transform({fills}, lambda f: {{'kind': f.kind, '{side}': f.{side}}})))"
+
+    return f"({distinct('item')} = len({fills}) AND {distinct('doc')} = len({fills}))"
+
+
 def _kd_levels(shards: int, dimensions: int = 4) -> str:
     """SQL that cuts all nodes of a level at once, by sorting them; a row keeps its node's shards."""
     widths = [f"max(x{d}) OVER w - min(x{d}) OVER w" for d in range(dimensions)]
@@ -300,18 +309,23 @@ ORACLES: dict[str, str] = {
         ), w AS (
             SELECT side, row, id, regexp_extract_all(coalesce(text, ''), '{_WORD}+') AS words FROM source
         ), c AS (
-            SELECT *, list_transform(words, lambda x: lower(trim(x, '{_MARKS_SQL}'))) AS cores FROM w
+            SELECT *, list_transform(words, lambda x: lower(trim(x, '{_MARKS_SQL}'))) AS cores,
+                   list_transform(words, lambda x: x >= 'A' AND x < '[' AND x[2:2] >= 'a') AS capital,
+                   list_transform(words, lambda x, i: coalesce(regexp_matches(words[i - 1], '[.!?:]\W*$'), true))
+                       AS opens
+            FROM w
+        ), named AS (
+            SELECT *, list_distinct(list_filter(cores, lambda x, i: capital[i] AND NOT opens[i])) AS names FROM c
         ), t AS (
             SELECT side, row, id, cores, list_transform(cores, lambda core, i: CASE
                 WHEN ascii(core) BETWEEN 48 AND 57 THEN CASE
                     WHEN regexp_full_match(core, '[0-9][0-9.,:/-]*') THEN '{NUMBER}'
                     WHEN regexp_full_match(core, '[0-9][0-9.,]*[a-z%]+') THEN '{NUMBER + UNIT}'
                     ELSE core END
-                WHEN words[i] >= 'A' AND words[i] < '[' AND words[i][2:2] >= 'a'
-                    AND NOT regexp_matches(words[i - 1], '[.!?:]\W*$') THEN '{NAME}'
+                WHEN capital[i] AND (NOT opens[i] OR list_contains(names, core)) THEN '{NAME}'
                 WHEN ascii(words[i - 1]) BETWEEN 48 AND 57 AND core IN ({_UNITS_SQL}) THEN '{UNIT}'
                 ELSE core END) AS tokens
-            FROM c
+            FROM named
         ), windows AS (
             SELECT *, array_to_string(tokens[p : p + 7], chr(1)) AS run FROM (
                 SELECT *, unnest(range(1, len(tokens) - 6)) AS p FROM t WHERE len(tokens) >= 8)
@@ -319,35 +333,38 @@ ORACLES: dict[str, str] = {
             SELECT * FROM windows WHERE side = 'item' AND len(list_filter(
                 tokens[p : p + 7], lambda x: x NOT IN ({_SLOTS_SQL}))) >= 5
         ), matched AS (
-            SELECT d.row, d.id AS doc_id, i.row AS item_row, i.id AS item_id, d.p - i.p AS shift,
-                   list_filter(range(0, 8), lambda k: i.tokens[i.p + k] IN ({_SLOTS_SQL})) AS slots,
-                   i.tokens, i.cores AS item_cores, d.cores AS doc_cores, d.p AS doc_at, i.p AS item_at
+            SELECT d.row, d.id AS doc_id, i.row AS item_row, i.id AS item_id, d.p - i.p AS shift, i.p AS item_at,
+                   list_transform(list_filter(range(0, 8), lambda k: i.tokens[i.p + k] IN ({_SLOTS_SQL})),
+                       lambda k: {{'kind': i.tokens[i.p + k], 'item': i.cores[i.p + k],
+                                  'doc': d.cores[d.p + k]}}) AS fills
             FROM windows d JOIN items i USING (run) WHERE d.side = 'doc'
-        ), fills AS (
-            SELECT row, item_row, shift,
-                   count(DISTINCT (kind, item, doc)) AS n, count(DISTINCT (kind, item)) AS n_item,
-                   count(DISTINCT (kind, doc)) AS n_doc
-            FROM (SELECT row, item_row, shift, tokens[item_at + k] AS kind,
-                         item_cores[item_at + k] AS item, doc_cores[doc_at + k] AS doc
-                  FROM (SELECT *, unnest(slots) AS k FROM matched))
-            GROUP BY ALL
         ), places AS (
-            SELECT row, doc_id, item_row, item_id, shift, count(*) AS n_windows,
-                   count(*) FILTER (len(slots) = 0) AS plain_windows
+            SELECT row, doc_id, item_row, item_id, shift, list_distinct(flatten(list(fills))) AS fills,
+                   list_distinct(list(item_at)) AS places,
+                   coalesce(list(DISTINCT item_at) FILTER (len(fills) = 0), []) AS plain
             FROM matched GROUP BY ALL
-        ), sizes AS (SELECT row AS item_row, count(*) AS item_windows FROM items GROUP BY row),
-        judged AS (
-            SELECT row, doc_id, item_row, item_id, item_windows, coalesce(n, 0) AS n_slots,
-                   CASE WHEN n IS NULL OR (n = n_item AND n = n_doc) THEN n_windows
-                        ELSE plain_windows END AS n_windows
-            FROM places LEFT JOIN fills USING (row, item_row, shift) JOIN sizes USING (item_row)
-        ), best AS (
-            SELECT doc_id, item_id, item_windows, max(row(n_windows, n_slots)) AS best FROM judged
-            WHERE n_windows >= item_windows * 0.5
-            GROUP BY row, doc_id, item_row, item_id, item_windows
-        )
-        SELECT doc_id, item_id, item_windows, CAST(best[1] AS BIGINT) AS n_windows,
-               CAST(best[2] AS BIGINT) AS n_slots FROM best
+        ), weighed AS (
+            SELECT *, CASE WHEN {_one_to_one_sql("fills")} THEN len(places) ELSE len(plain) END AS good FROM places
+        ), shifts AS (
+            SELECT row, doc_id, item_row, item_id,
+                   list({{'places': places, 'plain': plain, 'fills': fills}}
+                        ORDER BY good DESC, len(fills) DESC, shift) AS shifts
+            FROM weighed GROUP BY ALL
+        ), joined AS (
+            SELECT *, list_reduce(shifts, lambda a, b: {{
+                'places': list_distinct(list_concat(a.places, CASE
+                    WHEN {_one_to_one_sql("list_distinct(list_concat(a.fills, b.fills))")}
+                    THEN b.places ELSE b.plain END)),
+                'plain': a.plain,
+                'fills': CASE WHEN {_one_to_one_sql("list_distinct(list_concat(a.fills, b.fills))")}
+                    THEN list_distinct(list_concat(a.fills, b.fills)) ELSE a.fills END
+            }}, {{'places': shifts[1].places[1:0], 'plain': shifts[1].plain[1:0],
+                  'fills': shifts[1].fills[1:0]}}) AS taken FROM shifts
+        ), sizes AS (SELECT row AS item_row, count(*) AS item_windows FROM items GROUP BY row)
+        SELECT doc_id, item_id, item_windows, CAST(len(taken.places) AS BIGINT) AS n_windows,
+               CAST(CASE WHEN len(taken.fills) > 0 THEN len(taken.fills) ELSE len(shifts[1].fills) END
+                    AS BIGINT) AS n_slots
+        FROM joined JOIN sizes USING (item_row) WHERE len(taken.places) >= item_windows * 0.5
     """,
     "op5_quality_rules": rf"""
         WITH d AS (

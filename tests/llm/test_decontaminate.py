@@ -1,6 +1,8 @@
+import duckdb
 import pytest
 
 from squadbook.llm.decontaminate import contaminated, decontaminate
+from squadbook.llm.queries import ORACLES, op6_decontamination
 from tests.llm.conftest import frame, prose
 
 ITEM = "Tom has 3 apples and Tom buys 5 more apples, so how many apples does Tom have now in the red basket?"
@@ -101,3 +103,51 @@ def test_a_word_put_in_or_left_out_in_the_middle(spark, bound, n):
     )
     wanted = {(1, 1), (2, 1), (4, 2)}
     assert found(docs, items, broadcast_windows=bound) == wanted
+
+
+def test_names_that_open_a_sentence(spark, bound):
+    question = "Tom has 5 apples. Tom buys 3 more. How many apples does Tom have now?"
+    named = question.replace("Tom", "Ann").replace("5", "7").replace("3", "9")
+    items = benchmark(spark, [(1, question)])
+    docs = frame(
+        spark,
+        [
+            (1, "Well. " + named + " Sure."),
+            (2, named.replace("does Ann", "does Bob")),
+            (3, named.replace("buys", "sells").replace("many", "few").replace("apples", "pears")),
+        ],
+    )
+    assert found(docs, items, broadcast_windows=bound) == {(1, 1)}
+
+
+def test_sql_states_the_same_rule(spark, path):
+    """On rows that need it: words put in, names that open sentences, fills that disagree."""
+    words = prose(21, 30).split(" ")
+    question = (
+        "Tom is early. In the morning our Tom has 3 apples and then Tom buys 5 more apples at the market, "
+        "so how many apples does Tom have now in the red basket at home?"
+    )
+    named = question.replace("Tom", "Ann").replace("3", "14").replace("5", "2")
+    odd = named.replace("the market", "the big market")
+    texts = [
+        " ".join(words[:15] + ["extra"] + words[15:]),
+        " ".join(words[:10] + words[11:20] + ["a", "b"] + words[20:]),
+        named,
+        odd,
+        odd.replace("does Ann", "does Bob"),
+        odd + " " + question,
+        question.replace("Tom has", "Tom Smith has").replace("5", "5 000"),
+        " ".join(words[:12]),
+        None,
+    ]
+    frame(spark, list(enumerate(texts))).write.parquet(f"{path}/documents.parquet")
+    items = benchmark(spark, [(1, " ".join(words)), (2, question), (2, question), (3, None)])
+    items.write.parquet(f"{path}/benchmark.parquet")
+    connection = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{path}/{table}.parquet/*.parquet'")
+    wanted = connection.execute(ORACLES["op6_decontamination"])
+    columns = [c[0] for c in wanted.description]
+    got = sorted(tuple(r[c] for c in columns) for r in op6_decontamination(spark, path).collect())
+    assert got == sorted(wanted.fetchall())
+    assert {r[0] for r in got} >= {0, 2, 3, 5}
