@@ -2,13 +2,15 @@
 
 The rules give emails, IP addresses, card and phone numbers. The tagger (``tagger.Tagger``)
 is trained on a bounded sample of labelled spans, among them rewritten ones (spaced out,
-spelled ``(@)``, grouped otherwise) that no rule matches. A text is cut into overlapping
+spelled ``(@)``, grouped otherwise) that no rule matches, and on secrets: values that stand
+behind the name of a key or token in the sample, wherever they stand later. A text is cut into overlapping
 windows; the spans decoded in all of them are reconciled over the whole text by taking the
 non-overlapping set with the highest sum of scores. Spans of the tagger that meet one of
 the rules' are left out, so the rules' spans always stand.
 
 Every kind's span holds a digit or ``@``, also a rewritten one; windows without either
-cannot give a span and are not decoded. Null and empty texts have no spans.
+cannot give a span and are not decoded. Null and empty texts have no spans, very long ones are
+cut into windows like any, and repeated rows give a row each.
 """
 
 from __future__ import annotations
@@ -28,6 +30,9 @@ from squadbook.llm.tagger import Tagger, encode
 from squadbook.llm.tasks import map_batches, slices
 
 KINDS = ("email", "ip", "card", "phone")
+# What the tagger looks for besides other spellings of these: values of keys and tokens.
+SECRET = "secret"
+TAGGED = (*KINDS, SECRET)
 WINDOW = 96
 STRIDE = 48
 
@@ -38,6 +43,11 @@ _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
+# Where the training sample is labelled: a value behind the name of a secret.
+_SECRET_NAME = r"(?i:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key)[\"']?[ ]?[:=][ ]?"
+_SECRET = re.compile(_SECRET_NAME + r"[\"']?([A-Za-z0-9_+/=.-]{16,44})(?![A-Za-z0-9_+/=.-])")
+_NAME_BEFORE = re.compile(r"[A-Za-z_]*" + _SECRET_NAME + r"[\"']?$")
+_LETTERS, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
 
 
 class Span(NamedTuple):
@@ -90,13 +100,18 @@ def rule_spans(text: str) -> list[Span]:
 
 
 def _joined(spans: list[Span]) -> str:
-    ordered = sorted(spans, key=lambda s: (KINDS.index(s.kind), s.start, s.end))
+    ordered = sorted(spans, key=lambda s: (TAGGED.index(s.kind), s.start, s.end))
     return ",".join(f"{s.kind}:{s.start}:{s.end}" for s in ordered)
 
 
 def rewritten(value: str, kind: str, rng: np.random.Generator) -> str:
     """Another spelling of a value of a kind: new digits and letters, other separators."""
-    digits, letters = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+    digits, letters = _DIGITS, _LETTERS
+    if kind == SECRET:
+        # As long as some keys are, of hex digits or of any letters and digits.
+        signs = (digits + letters[:6], digits + letters, digits + letters + letters.upper() + "_-")
+        chosen = list(signs[int(rng.integers(0, 3))])
+        return "".join(rng.choice(chosen, int(rng.integers(20, 45))))
     at = value.find("@") if kind == "email" else len(value)
     fresh = [
         str(rng.choice(list(digits if c in digits else letters))) if c in digits + letters else c
@@ -115,12 +130,25 @@ def rewritten(value: str, kind: str, rng: np.random.Generator) -> str:
     return value if way == 0 else value.replace("-", " " if way == 1 else "/")
 
 
+def labelled_spans(text: str) -> list[Span]:
+    """The rules' spans, and values behind the name of a secret, as a sample is labelled."""
+    spans = rule_spans(text)
+    secrets = [Span(SECRET, *m.span(1)) for m in _SECRET.finditer(text)]
+    mixed = [s for s in secrets if _mixed(text[s.start : s.end])]
+    return spans + [s for s in mixed if not any(r.start < s.end and r.end > s.start for r in spans)]
+
+
+def _mixed(value: str) -> bool:
+    """Both letters and digits, and no white space."""
+    return bool(re.search("[0-9]", value) and re.search("[A-Za-z]", value)) and not re.search(r"\s", value)
+
+
 def training_windows(texts: list[str], windows: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Windows of symbols and labels: around labelled spans, around other digits, and plain."""
     rng = np.random.default_rng(seed)
     pieces: list[tuple[str, list[tuple[int, int, int]]]] = []
     for text in texts:
-        spans = sorted(rule_spans(text), key=lambda s: s.start)
+        spans = sorted(labelled_spans(text), key=lambda s: s.start)
         taken = [s for i, s in enumerate(spans) if not i or s.start >= max(x.end for x in spans[:i])]
         for s in taken[:6]:
             value = text[s.start : s.end]
@@ -132,8 +160,12 @@ def training_windows(texts: list[str], windows: int, seed: int = 5) -> tuple[np.
             left, right = text[max(0, s.start - before) : s.start], text[s.end : s.end + WINDOW]
             if any(x is not s and x.start < s.end + WINDOW and x.end > s.start - before for x in spans):
                 left, right = " " * bool(left), " " * bool(right)
-            k = 1 + 2 * KINDS.index(s.kind)
+            k = 1 + 2 * TAGGED.index(s.kind)
             pieces.append((left + value + right, [(len(left), len(left) + len(value), k)]))
+            if s.kind == SECRET:
+                # Once more without its name, so that the value itself is learned.
+                left, value = _NAME_BEFORE.sub("", left) + '"', rewritten(value, SECRET, rng)
+                pieces.append((left + value + right, [(len(left), len(left) + len(value), k)]))
         digits = [m.start() for m in re.finditer(r"[0-9@]+", text)]
         for at in [d for d in digits if not any(s.start - 1 <= d < s.end for s in spans)][:3]:
             lo = max(0, at - WINDOW // 2)
@@ -219,8 +251,10 @@ class Finder:
         for (start, end, kind), score in spans.items():
             if any(r.start < end and r.end > start for r in rules):
                 continue
-            digits = len(_NOT_DIGIT.sub("", text[start:end]))
-            enough = ("@" in text[start:end], 4 <= digits <= 12, 12 <= digits <= 19, 8 <= digits <= 15)
+            value = text[start:end]
+            digits = len(_NOT_DIGIT.sub("", value))
+            secret = len(value) >= 16 and _mixed(value)
+            enough = ("@" in value, 4 <= digits <= 12, 12 <= digits <= 19, 8 <= digits <= 15, secret)
             if enough[kind]:
                 fits.append((end, start, kind, score))
         fits.sort()
@@ -235,7 +269,7 @@ class Finder:
                 at -= 1
                 continue
             end, start, kind, _ = fits[best[at][1]]
-            chosen.append(Span(KINDS[kind], start, end))
+            chosen.append(Span(TAGGED[kind], start, end))
             at = bisect.bisect_right(ends, start, 0, best[at][1])
         return chosen
 
@@ -243,13 +277,13 @@ class Finder:
 def trained_finder(
     docs: DataFrame, *, text: str = "text", documents: int = 600, windows: int = 900, margin: float = 0.5
 ) -> Finder:
-    """A finder fitted on at most ``documents`` texts that hold digits or ``@``.
+    """A finder fitted on at most ``documents`` texts that hold numbers, ``@`` or names of secrets.
 
     The first texts by a hash are taken, at most 4,000 characters of each from its middle:
     a bounded sample for fitting; what is searched later are the whole texts. A count tells below
     what hash the first ones are, so no more than a few times as many rows are sorted.
     """
-    likely = r"@[A-Za-z0-9-]+\.|[0-9][0-9. ()-]{5,}[0-9]"
+    likely = r"@[A-Za-z0-9-]+\.|[0-9][0-9. ()-]{5,}[0-9]|" + _SECRET_NAME
     body = F.col(text).cast("string")
     middle = F.greatest(F.lit(1), ((F.length(body) - 4000) / 2).cast("int"))
     key = F.xxhash64(body)
@@ -266,12 +300,12 @@ def trained_finder(
     x, y = training_windows([r["part"] for r in sample.collect()], windows)
     if not (y > 0).any():
         return Finder(None, margin)
-    tagger = Tagger(len(KINDS))
+    tagger = Tagger(len(TAGGED))
     tagger.train(x, y)
     return Finder(tagger, margin)
 
 
-RESULT = [f"n_{kind}" for kind in KINDS] + ["base_sha256", "spans", "n_added"]
+RESULT = [f"n_{kind}" for kind in KINDS] + ["base_sha256", "spans", "n_added", "n_spans"]
 
 
 def find_personal_data(
@@ -283,13 +317,15 @@ def find_personal_data(
 ) -> DataFrame:
     """One row per document: ``keep``, counts and digest of the rules' spans, and all spans.
 
+    ``n_added`` counts the tagger's spans, ``n_spans`` all of them.
+
     A map over the rows with the tagger's weights (a few thousand numbers) at hand.
     """
     finder = trained_finder(docs, text=text) if finder is None else finder
     rows = docs.select(*[F.col(c) for c in keep], F.col(text).cast("string").alias("_text"))
     schema = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep]
     schema += [f"n_{kind} bigint" for kind in KINDS]
-    schema += ["base_sha256 string", "spans string", "n_added bigint"]
+    schema += ["base_sha256 string", "spans string", "n_added bigint", "n_spans bigint"]
     names = list(keep)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,6 +341,7 @@ def find_personal_data(
             arrays.append(pa.array(digests, pa.string()))
             arrays.append(pa.array([_joined(a + b) for a, b in zip(ruled, added)], pa.string()))
             arrays.append(pa.array([len(b) for b in added], pa.int64()))
+            arrays.append(pa.array([len(a) + len(b) for a, b in zip(ruled, added)], pa.int64()))
             yield pa.RecordBatch.from_arrays(arrays, names + RESULT)
 
     return map_batches(rows, find, ", ".join(schema))
