@@ -234,7 +234,8 @@ def identify_languages(
     The classifier is fitted on at most ``documents`` rows and ``characters`` characters a
     language; predictions read the text alone. ``lang_pred`` is ``und`` and the score 0 for
     a null text, one without letters, and wherever no row is labelled. The score is the
-    share by which the best language's cost lies below the second's; ``bits`` is that cost a
+    share by which the best language's cost lies below the second's, 0 where they are equal, and
+    then the first by name is given; ``bits`` is that cost a
     symbol, low for text that is much like the sample and high for letters in disorder.
     """
     keep = (doc_id,) if keep is None else keep

@@ -6,6 +6,7 @@ confidence and keywords; it is tried only where one of its keywords occurs. Dete
 overlap are resolved by priority, then length: a detection contained in one that was
 accepted before it is dropped. The base phrases are reported apart, all their places.
 
+Of detections with one priority and place the first by label stays.
 Null and empty texts have no words and no labels; every row gives one row, in any number and
 order of repeats; other columns are not looked at.
 """

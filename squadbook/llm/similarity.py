@@ -319,6 +319,7 @@ def similar_documents(
     id that links lead to, the row's own included. A null text, or one without words, has an
     empty set and no links, not even to another one. Rows that share an id are documents of
     their own; rows without id take part, and where a component has no id its rows have none.
+    Ids are whole numbers; of another type they are cast, which fails or gives null by ANSI mode.
     An empty table gives an empty result; other columns are not looked at.
     """
     rows = docs.select(

@@ -286,7 +286,8 @@ def write_token_ids(
     """Encode every text, append ``end_id``, and write blocks below ``path``; returns the shards.
 
     Documents are dealt by ranges of their id (ties by a hash of the text, so that a retried
-    task gives the same order), rows without id first. A null text has the end id alone.
+    task gives the same order), rows without id first. A null text has the end id alone. Ids are
+    whole numbers; of another type they are cast, which fails or gives null by ANSI mode.
     Documents are encoded behind the exchange, in streams of blocks: a task holds one block.
     """
     from tokenizers import Tokenizer
