@@ -13,6 +13,7 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables are not here")
 
 TYPES = {
+    "boolean": "BOOLEAN",
     "bigint": "BIGINT",
     "int": "INTEGER",
     "string": "VARCHAR",
