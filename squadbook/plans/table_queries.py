@@ -622,12 +622,17 @@ def stream_dedup(spark, sf):
     return _appended(unique.select("user_id", "event_type"), "unique")
 
 
-def _landed(rows: DataFrame, label: str, files: int = 4) -> DataFrame:
-    """Rows as a stream of several micro-batches: written to a landing folder, a file at a time read."""
+def _landed(rows: DataFrame, label: str, batches: int = 4) -> DataFrame:
+    """Rows as a stream of several micro-batches: written to a landing folder, some files at a time read.
+
+    A micro-batch has as many files as it takes for each to be no more than a split of the input,
+    so what one task writes does not grow with the tables.
+    """
     spark = rows.sparkSession
     landing = scratch_path(spark, label)
-    rows.repartition(files).write.parquet(landing)
-    return streaming.read_comment_stream(spark, landing, rows.schema, 1, file_format="parquet")
+    files = max(1, -(-rows.rdd.getNumPartitions() // batches))
+    rows.repartition(batches * files).write.parquet(landing)
+    return streaming.read_comment_stream(spark, landing, rows.schema, files, file_format="parquet")
 
 
 def running_mentions(spark, sf):

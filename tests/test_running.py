@@ -1,5 +1,6 @@
 """Results that are kept while a stream runs: equal to the batch after every micro-batch."""
 
+import glob
 import json
 import os
 import shutil
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from squadbook import sources, streaming
 from squadbook.functions import ingestion_metrics
 from squadbook.operators import count_mentions, prepare_aliases
+from squadbook.plans.table_queries import _landed
+from squadbook.runtime import scratch_made
 from squadbook.schema import COMMENT_PAGE_SCHEMA, COMMENT_SCHEMA
 from squadbook.sinks import compact, high_water, open_batches, read_batches, write_batch
 
@@ -328,3 +331,24 @@ def test_every_batch_is_logged_once(spark, tmp_path, path):
     whole = spark.createDataFrame(rows, schema)
     checksum = whole.agg(*ingestion_metrics(whole)).first()["checksum"]
     assert sum(int(r.checksum) for r in records) == int(checksum)
+
+
+def test_landed_files_follow_the_splits_of_the_input(spark, path):
+    """A task writes no more than a split of the table, and the micro-batches stay as many."""
+    table = spark.range(900).withColumn("text", F.repeat(F.lit("x"), 40)).repartition(9)
+    table.write.parquet(f"{path}/table")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        rows = spark.read.parquet(f"{path}/table")
+        splits = rows.rdd.getNumPartitions()
+        stream = _landed(rows, "landed-test")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    landing = [p for p in scratch_made(spark) if "landed-test" in p][-1].removeprefix("file:")
+    assert len(glob.glob(f"{landing}/part-*")) >= splits > 4
+    query = stream.writeStream.format("parquet").option("checkpointLocation", f"{path}/checkpoint")
+    query = query.trigger(availableNow=True).start(f"{path}/out")
+    query.awaitTermination()
+    assert len(glob.glob(f"{path}/checkpoint/commits/[0-9]*".removeprefix("file:"))) == 4
+    assert sorted(r.id for r in spark.read.parquet(f"{path}/out").collect()) == list(range(900))
