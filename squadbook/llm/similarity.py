@@ -30,7 +30,7 @@ from squadbook.llm.components import components
 from squadbook.llm.filters import without_rows
 from squadbook.llm.overlap import candidate_links, similar_links, sketch
 from squadbook.llm.tasks import map_batches, slices, sorted_groups
-from squadbook.runtime import stored
+from squadbook.runtime import forget_shuffles, stored
 
 TEXT_BYTES = 1 << 20
 # Sets a task holds while it looks for members that many of them have.
@@ -297,8 +297,12 @@ def similar_groups(docs: DataFrame, *, width: int = 5, percent: int = 80) -> Dat
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(spread, total * (100 - percent) // 100 // BUCKET_MEMBERS + 1)
     groups = _groups(docs, width, percent, frequent_members(measured), buckets)
+    # Prefixes, sketches and the sets of blocks are shuffled one after another.
+    forget_shuffles(docs.sparkSession)
     candidates = stored(_candidates(groups, sketches, percent), "candidates")
+    forget_shuffles(docs.sparkSession)
     links = stored(_links(docs, components(candidates), classes, width, percent), "links")
+    forget_shuffles(docs.sparkSession)
     linked = components(links).withColumnsRenamed({"node": "c", "component": "root"})
     return documents.join(linked, "c", "left").select(
         "row", "doc_id", "n", F.coalesce("root", "c").alias("root")
@@ -350,7 +354,7 @@ def one_of_each(
         F.monotonically_increasing_id().alias("row"),
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
     )
-    rows = stored(rows, "documents")
+    rows = stored(rows, "documents", "zstd")
     compared = rows.select(
         "row",
         F.col(f"doc.`{doc_id}`").cast("bigint").alias("doc_id"),

@@ -123,3 +123,19 @@ def test_one_of_each(spark, awkward):
     ids = sorted((r.doc_id for r in kept.collect()), key=str)
     # Of the four rows with id 6 or none, two texts; rows without words all stay.
     assert ids == sorted([1, 2, 3, 4, 5, 6, 6, 7, 8, None], key=str)
+
+
+def test_one_of_each_holds_texts_packed_and_few_shuffles(spark, monkeypatch):
+    labels, stored = [], similarity.stored
+
+    def noted(df, label, compression=None):
+        labels.append((label, compression))
+        return stored(df, label, compression)
+
+    monkeypatch.setattr(similarity, "stored", noted)
+    monkeypatch.setattr(similarity, "forget_shuffles", lambda spark: labels.append("forget"))
+    text = prose(5, 60)
+    kept = one_of_each(frame(spark, [(1, text), (2, text), (3, prose(6, 60))])).collect()
+    assert sorted(r["doc_id"] for r in kept) == [1, 3]
+    assert labels[0] == ("documents", "zstd")
+    assert all(labels[labels.index((x, None)) + 1] == "forget" for x in ("candidates", "links"))
